@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, pii
 
 
 def queries() -> dict:
-    return {"op9_exact_dedup": exact_dedup.query}
+    return {"op3_pii": pii.query, "op8_mixing": mixing.query, "op9_exact_dedup": exact_dedup.query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.SQL}
+    return {"op8_mixing": mixing.SQL, "op9_exact_dedup": exact_dedup.SQL}
