@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, pii
+from . import chat, exact_dedup, language, mixing, packing, pii
 
 
 def queries() -> dict:
-    return {"op3_pii": pii.query, "op8_mixing": mixing.query, "op9_exact_dedup": exact_dedup.query}
+    return {
+        "op3_pii": pii.query,
+        "op4_chat": chat.query,
+        "op7_packing": packing.query,
+        "op8_mixing": mixing.query,
+        "op9_exact_dedup": exact_dedup.query,
+        "op10_language": language.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
