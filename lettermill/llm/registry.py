@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language, mixing, packing, pii
+from . import chat, exact_dedup, language, minhash, mixing, packing, pii
 
 
 def queries() -> dict:
     return {
         "op3_pii": pii.query,
         "op4_chat": chat.query,
+        "op6_minhash": minhash.query,
         "op7_packing": packing.query,
         "op8_mixing": mixing.query,
         "op9_exact_dedup": exact_dedup.query,
