@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import WordEncoder, batches, vocabulary
+from .tokens import batches, vocabulary, word_encoder
 
 SEQUENCE = 2048
 END_ID = 1
@@ -54,13 +54,13 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, sequenc
     schema = "id long, doc_row long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def cut(frames):
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
             for a, b in batches(texts):
                 rows = []
-                for doc, row, ids in zip(frame["id"].iloc[a:b].tolist(), frame["doc_row"].iloc[a:b], encoder.ids(texts[a:b]), strict=True):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                for doc, row, text in zip(frame["id"].iloc[a:b].tolist(), frame["doc_row"].iloc[a:b], texts[a:b], strict=True):
+                    ids = np.append(encoder.ids(text), np.uint32(END_ID)).astype("<u4")
                     doc = None if pd.isna(doc) else int(doc)
                     for s in range(0, len(ids), sequence):
                         part = ids[s : s + sequence]

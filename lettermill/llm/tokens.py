@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from itertools import chain
+from array import array
 
 import numpy as np
 
@@ -26,34 +26,42 @@ def tokenizer(path: str):
     return _loaded[path]
 
 
-class WordEncoder:
-    """Whole-text ids of a tokenizer that drops white space, built from the ids of its words.
+class WordEncoder(dict):
+    """Whole-text ids of a tokenizer that drops white space and the case of letters, built from the ids of its words.
 
-    Such a tokenizer never looks across ASCII white space, so each distinct word is encoded once and kept. The memory
-    kept is bounded: over MOST_WORDS the store is emptied; words over LONGEST characters are encoded each time.
+    Such a tokenizer never looks across ASCII white space, so each distinct word is encoded once and its ids are kept as
+    little-endian bytes. A comma or stop after an ASCII letter, at a word's end, is a token run of its own. The memory kept
+    is bounded: over MOST_WORDS the store is emptied; words over LONGEST bytes are encoded each time.
     """
 
-    MOST_WORDS, LONGEST = 400_000, 64
+    MOST_WORDS, LONGEST = 1_000_000, 64
 
     def __init__(self, path: str):
-        self.encode = tokenizer(path).encode_batch
-        self.known: dict[str, tuple] = {}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.encode("utf-8", "replace").split() for t in texts]  # bytes.split: space and the controls 9 to 13
-        known = self.known
-        if len(known) > self.MOST_WORDS:
-            known.clear()
-        new = list({w for words in cut for w in words if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.encode([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = tuple(e.ids)
-        out = [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint32) for words in cut]
-        for w in new:
-            if len(w) > self.LONGEST:
-                del known[w]
-        return out
+        self.encode = tokenizer(path).encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
+            found = self[word[:-1]] + self[word[-1:]]
+        else:
+            found = array("I", self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+        if len(word) <= self.LONGEST:
+            self[word] = found
+        return found
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(self) > self.MOST_WORDS:
+            self.clear()
+        raw = text.encode("utf-8", "replace")
+        if b"<|" not in raw:  # special tokens are matched before case is dropped
+            raw = raw.lower()
+        return np.frombuffer(b"".join(map(self.__getitem__, raw.split())), "<u4")  # bytes.split: space and the controls 9 to 13
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """One for each Python worker, kept over its tasks."""
+    if (path, "words") not in _loaded:
+        _loaded[path, "words"] = WordEncoder(path)
+    return _loaded[path, "words"]
 
 
 def batches(texts: list[str], most_chars: int = 4_000_000):
