@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,27 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Bits of a filter over 64-bit digests; 16 MB, whatever the input. It spares later passes most rows; a crowded filter
+#: only lets more rows through, which exact joins then drop.
+FILTER_BITS = 1 << 27
+
+
+def bit_filter(rows: DataFrame, digest: str) -> np.ndarray:
+    """One bit for each digest (long) modulo FILTER_BITS, set by executors in slices of 4 KB."""
+    at = F.pmod(F.col(digest), F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
+    slices = rows.groupBy(F.bitmap_bucket_number(at).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).toLocalIterator()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in slices:
+        out[(r["slice"] - 1) * 4096 : r["slice"] * 4096] |= np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    """Which of the digests (uint64) have their bit set."""
+    at = digests & np.uint64(FILTER_BITS - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Reads one of the driver's parquet tables through Spark's reader, so any Hadoop path works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import FILTER_BITS, bit_filter, table, written
 from .components import components
 from .tokens import batches
 
@@ -24,9 +24,6 @@ SHINGLE = 5
 #: 24 bands of 6 minima: a pair at similarity 0.85 shares no band with a probability of 1e-5, at 0.8 of 8e-4.
 BANDS, ROWS = 24, 6
 TILE = 512
-#: Bits of the filter that spares most documents the second pass; 16 MB, whatever the input. A crowded filter only
-#: lets more documents through.
-FILTER_BITS = 1 << 27
 _rng = np.random.RandomState(20)
 _A = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _rng.randint(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
@@ -146,21 +143,9 @@ def _tiles(members: DataFrame) -> DataFrame:
     return placed.groupBy("key", "i", "j").agg(F.collect_list("h").alias("home"), F.collect_list("w").alias("away")).where(F.size("home") + F.size("away") > 1).select("home", "away")
 
 
-def _passing(nodes: DataFrame) -> np.ndarray:
-    """Filter of FILTER_BITS bits over the given node digests, built by executors in slices of 4 KB."""
-    at = F.pmod(F.col("node"), F.lit(FILTER_BITS)) + 1  # these functions count from 1
-    slices = nodes.groupBy(F.bitmap_bucket_number(at).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in slices:
-        first = (r["slice"] - 1) * 4096
-        own = np.frombuffer(bytes(r["bits"]), np.uint8)
-        out[first : first + len(own)] |= own
-    return out
-
-
 def _sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """node, shingles (sorted array) of the members. Texts are read again where they lie; the filter spares most of them."""
-    bits = docs.sparkSession.sparkContext.broadcast(_passing(members))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(members, "node"))
 
     def again(frames):
         words, keep = _Words(), bits.value

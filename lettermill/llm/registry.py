@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language, minhash, mixing, packing, pii
+from . import chat, embeddings, exact_dedup, language, minhash, mixing, packing, pii, substrings
 
 
 def queries() -> dict:
     return {
+        "op1_embeddings": embeddings.query,
+        "op2_substrings": substrings.query,
         "op3_pii": pii.query,
         "op4_chat": chat.query,
         "op6_minhash": minhash.query,
