@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, embeddings, exact_dedup, language, minhash, mixing, packing, pii, substrings
+from . import chat, embeddings, exact_dedup, language, lm_scoring, minhash, mixing, packing, pii, substrings
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_substrings": substrings.query,
         "op3_pii": pii.query,
         "op4_chat": chat.query,
+        "op5_lm_scoring": lm_scoring.query,
         "op6_minhash": minhash.query,
         "op7_packing": packing.query,
         "op8_mixing": mixing.query,
