@@ -21,8 +21,8 @@ from .components import components
 from .tokens import batches
 
 SHINGLE = 5
-#: 24 bands of 6 minima: a pair at similarity 0.85 shares no band with a probability of 1e-5, at 0.8 of 8e-4.
-BANDS, ROWS = 24, 6
+#: 32 bands of 6 minima: a pair at similarity 0.85 shares no band with a probability of 3e-7, at 0.8 of 6e-5.
+BANDS, ROWS = 32, 6
 TILE = 512
 _rng = np.random.RandomState(20)
 _A = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -69,7 +69,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     low = np.full(len(_A), np.uint32(0xFFFFFFFF))
     for i in range(0, len(x), 2048):
-        low = np.minimum(low, (x[i : i + 2048, None] * _A + _B).min(axis=0))
+        h = _A[:, None] * x[i : i + 2048]
+        h += _B[:, None]
+        low = np.minimum(low, h.min(axis=1))
     return low
 
 
@@ -99,33 +101,46 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _lowest(threshold: float) -> float:
-    """The share of equal minima below which a pair at the threshold falls with a probability of about 3e-6."""
-    return threshold - 4.5 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+    """The share of equal minima below which a pair at the threshold falls with a probability of about 3e-5."""
+    return threshold - 4 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
 
 
-def _pairs(tiles: DataFrame, lowest: float, apart: bool) -> DataFrame:
-    """Pairs a < b from tiles (home, away: arrays of node, component, sig; away empty where the tile meets itself)."""
+def _pairs(tiles: DataFrame, lowest: float, threshold: int, which: str) -> DataFrame:
+    """Pairs a < b that signatures and set sizes allow, from tiles (key of the bucket; home, away: arrays of node, component,
+    n, sig, bands; away empty where the tile meets itself). which: "first", each class with the first it may be linked with
+    and the nearest before it; "nearest", each with the nearest of another component; "apart", all of different components,
+    in the first bucket they share."""
 
     def compare(frames):
         for frame in frames:
-            for home, away in zip(frame["home"], frame["away"], strict=True):
+            for key, home, away in zip(frame["key"], frame["home"], frame["away"], strict=True):
                 rows = [*home, *away]
                 node, part = np.array([r["node"] for r in rows], np.int64), np.array([r["component"] for r in rows], np.int64)
-                if apart and (part == part[0]).all():
+                if which != "first" and (part == part[0]).all():
                     continue
+                size = np.array([r["n"] for r in rows], np.int64)
                 sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), -1)
+                bands = np.array([r["bands"] for r in rows], np.int64)
+                tile = np.arange(len(rows)) < len(home)
                 order = np.argsort(node, kind="stable")
-                node, part, sig, tile = node[order], part[order], sig[order], order < len(home)
+                node, part, size, sig, bands, tile = node[order], part[order], size[order], sig[order], bands[order], tile[order]
                 found = set()
-                for i in range(1, len(node)):
-                    alike = ((sig[:i] == sig[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                    good = alike >= lowest
+                for i in range(0 if which == "nearest" else 1, len(node)):
+                    to = slice(None) if which == "nearest" else slice(i)
+                    alike = ((sig[to] == sig[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                    good = (alike >= lowest) & (100 * np.minimum(size[to], size[i]) >= threshold * np.maximum(size[to], size[i]))
                     if len(away):
-                        good &= tile[:i] != tile[i]
-                    if apart:
-                        found.update((int(node[j]), int(node[i])) for j in np.flatnonzero(good & (part[:i] != part[i])))
-                    elif good.any():
-                        found.update((int(node[j]), int(node[i])) for j in {int(np.flatnonzero(good)[0]), int(np.argmax(np.where(good, alike, -1)))})
+                        good &= tile[to] != tile[i]
+                    if which != "first":
+                        good &= part[to] != part[i]
+                    if not good.any():
+                        continue
+                    if which == "apart":
+                        other = np.flatnonzero(good)
+                        other = other[bands[i][(bands[other] == bands[i]).argmax(axis=1)] == key]
+                    else:
+                        other = {int(np.argmax(np.where(good, alike, -1)))} | ({int(np.argmax(good))} if which == "first" else set())
+                    found.update((min(int(node[j]), int(node[i])), max(int(node[j]), int(node[i]))) for j in other)
                 if found:
                     yield pd.DataFrame(sorted(found), columns=["a", "b"])
 
@@ -138,9 +153,9 @@ def _tiles(members: DataFrame) -> DataFrame:
     count = F.ceil(F.col("rows") / TILE).cast("int")
     placed = members.withColumn("tiles", count).withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    entry = F.struct("node", "component", "sig")
+    entry = F.struct("node", "component", "n", "sig", "bands")
     placed = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), entry).alias("h"), F.when(F.col("own") > F.col("other"), entry).alias("w"))
-    return placed.groupBy("key", "i", "j").agg(F.collect_list("h").alias("home"), F.collect_list("w").alias("away")).where(F.size("home") + F.size("away") > 1).select("home", "away")
+    return placed.groupBy("key", "i", "j").agg(F.collect_list("h").alias("home"), F.collect_list("w").alias("away")).where(F.size("home") + F.size("away") > 1).select("key", "home", "away")
 
 
 def _sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
@@ -179,12 +194,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     try:
         signed = written(_signed(plain, size), "minhash-signed")
-        classes = written(signed.where("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")), "minhash-classes")
+        classes = written(signed.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "minhash-classes")
         banded = classes.select("node", F.explode("bands").alias("key"))
         shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
         members = written(banded.join(shared, "key"), "minhash-members")
         nodes = members.select("node").distinct()
-        signs = written(nodes.join(classes.select("node", "sig"), "node"), "minhash-signs")
+        signs = written(nodes.join(classes.select("node", "n", "sig", "bands"), "node"), "minhash-signs")
         # of several documents of one class, any one's set serves: they are the same
         sets = written(_sets(plain, signs, size).groupBy("node").agg(F.first("shingles").alias("shingles")).join(nodes, "node", "left_semi"), "minhash-sets")
         lowest = _lowest(threshold / 100)
@@ -194,16 +209,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
             return both.where(100 * F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
-        first = _pairs(_tiles(members.join(signs.withColumn("component", F.col("node")), "node")), lowest, apart=False)
-        links = written(verified(written(first, "minhash-pairs")), "minhash-links")
-        parts = components(links)
-        known = signs.join(parts, "node", "left").select("node", "sig", F.coalesce("component", "node").alias("component"))
-        # buckets of one component are done
-        open_ = written(members.join(known, "node"), "minhash-open")
-        several = open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-        rest = _pairs(_tiles(open_.join(several, "key", "left_semi")), lowest, apart=True)
-        more = written(verified(written(rest, "minhash-pairs")), "minhash-links")
-        parts = components(links.unionByName(more))
+        links, parts = None, None
+        for which in ("first", "nearest", "apart"):
+            if parts is None:
+                now = members.join(signs.withColumn("component", F.col("node")), "node")
+            else:  # buckets of one component are done
+                known = signs.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                open_ = written(members.join(known, "node"), "minhash-open")
+                several = open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+                now = open_.join(several, "key", "left_semi")
+            pairs = written(_pairs(_tiles(now), lowest, threshold, which), "minhash-pairs")
+            found = written(verified(pairs), "minhash-links")
+            links = found if links is None else links.unionByName(found)
+            parts = components(links)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
     labelled = signed.select("id", "n_shingles", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
