@@ -135,31 +135,26 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", min_shar
     """docs with lang_pred and score, other columns kept (columns of these names are replaced).
 
     score is the share of the text's n-grams that the chosen language contains, 0 to 1. UNDECIDED with score 0: a null
-    text, one without a letter, one of which no n-gram is known to any language while none is learned at all, and one
-    whose score is below min_share. A tie goes to the first language in order.
+    text, one without a letter, one whose score is below min_share, and every text if no language was learned. A tie goes
+    to the first language in order.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(filters)
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(column: pd.Series) -> pd.DataFrame:
+        own, texts = shared.value, [t or "" for t in column]
+        names, scores = [UNDECIDED] * len(texts), [0.0] * len(texts)
+        for a, b in batches(texts) if own.languages else ():
+            n, hits = own.counts(texts[a:b])
+            best = hits.argmax(axis=1)
+            for i in range(b - a):
+                share = min(1.0, float(hits[i, best[i]]) / max(1, int(n[i])))
+                if n[i] > 0 and share >= min_share and any(map(str.isalpha, texts[a + i])):
+                    names[a + i], scores[a + i] = own.languages[best[i]], share
+        return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    def predict(frames):
-        own = shared.value
-        for frame in frames:
-            texts = frame[text_col].tolist()
-            names, scores = [], []
-            for a, b in batches([t or "" for t in texts]):
-                part = [t or "" for t in texts[a:b]]
-                n, hits = own.counts(part)
-                best = hits.argmax(axis=1) if own.languages else np.zeros(len(part), int)
-                for i, t in enumerate(part):
-                    share = min(1.0, float(hits[i, best[i]]) / max(1, int(n[i]))) if own.languages else 0.0
-                    good = own.languages and n[i] > 0 and share >= min_share and any(map(str.isalpha, t))
-                    names.append(own.languages[best[i]] if good else UNDECIDED)
-                    scores.append(share if good else 0.0)
-            yield frame.assign(lang_pred=names, score=scores)
-
-    return docs.select(*kept).mapInPandas(predict, schema)
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return docs.withColumn("__found", predict(F.col(text_col))).select(*kept, "__found.lang_pred", "__found.score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -232,9 +232,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
-    """docs' rows and columns, one id of each component: the smallest. Nulls and repeats as in near_duplicates()."""
-    kept = near_duplicates(docs, id_col, text_col, threshold).where("kept").select(F.col(id_col).alias("__id"), F.col("class_id").alias("__class")).distinct()
-    ids = written(kept.select("__id").distinct(), "minhash-kept")
+    """docs' rows and columns, one id of each component: the smallest. Nulls as in near_duplicates(); rows that share a kept
+    id all stay."""
+    kept = near_duplicates(docs, id_col, text_col, threshold).where("kept").select(F.col(id_col).alias("__id"))
+    ids = written(kept.distinct(), "minhash-kept")
     return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
 
 
