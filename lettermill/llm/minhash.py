@@ -49,7 +49,7 @@ class _Words(dict):
 def shingle_sets(texts: list[str], words: _Words, size: int = SHINGLE):
     """Sorted distinct 64-bit hashes of each text's shingles: of runs of size words, A-Z in lower case; of the whole
     sequence if it is shorter; none without words."""
-    if len(words) > 500_000:
+    if len(words) > 200_000:
         words.clear()
     for t in texts:
         cut = t.encode("utf-8", "surrogatepass").lower().split()

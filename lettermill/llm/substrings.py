@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, passes, table, written
+from .common import arrow_rows, bit_filter, passes, table, written
 from .minhash import _Words, mixed
 from .tokens import batches
 
@@ -32,7 +32,7 @@ _powers: dict = {}
 def _power(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """seed ** i and its inverses modulo 2 ** 64, for i < n."""
     if seed not in _powers or len(_powers[seed][0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         up = np.full(size, np.uint64(seed), np.uint64)
         down = np.full(size, np.uint64(pow(seed, -1, 1 << 64)), np.uint64)
         up[0] = down[0] = 1
@@ -44,7 +44,7 @@ class Text:
     """The words of several texts in one array of hashes."""
 
     def __init__(self, texts: list[str], words: _Words):
-        if len(words) > 500_000:
+        if len(words) > 200_000:
             words.clear()
         cut = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         self.counts = np.array([len(c) for c in cut], np.int64)
@@ -82,7 +82,7 @@ def _each(frames, columns):
     words = _Words()
     for frame in frames:
         texts = [t or "" for t in frame["text"]]
-        for a, b in batches(texts):
+        for a, b in batches(texts, 1_500_000):
             yield Text(texts[a:b], words), *[frame[c].to_numpy()[a:b] for c in columns]
 
 
@@ -163,7 +163,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     rows = rows.select("doc", F.coalesce("doc", F.lit(2**63 - 1)).alias("id"), "text", F.xxhash64("doc", "text").alias("row"))
-    spans = repeated_spans(rows.select("row", "id", "text"), window)
+    with arrow_rows(docs.sparkSession, 1000):
+        spans = repeated_spans(rows.select("row", "id", "text"), window)
     spans = written(spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "size")).alias("spans")), "graph-spans")
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(spans, "row"))
 
@@ -179,7 +180,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def finish(frames):
         for frame in frames:
-            for a, b in batches([t or "" for t in frame["text"]]):
+            for a, b in batches([t or "" for t in frame["text"]], 1_500_000):
                 yield _finished(frame.iloc[a:b], with_text)
 
     out = clean.mapInPandas(finish, schema).unionByName(cut.mapInPandas(finish, schema)).withColumnRenamed("id", id_col)
@@ -187,4 +188,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # the result is computed after this returns
     return without_repeats(table(spark, sf_dir, "documents"), with_text=False)
