@@ -15,13 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import arrow_rows, table, written
 from .components import components
 from .minhash import mixed
 
 MIN_COSINE = 0.93
 BLOCK_DIMS = 16
-TILE = 512
+TILE = 1024
 #: Half of the cells around a cell; the other half sends to it.
 AROUND = ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))
 _rotations: dict = {}
@@ -39,19 +39,19 @@ def _blocks(dims: int, cosine: float) -> list[tuple[slice, float]]:
     return [(slice(a, b), 2 * (1 - cosine) * (b - a) / dims * (1 + 1e-9) + 1e-12) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    v = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+def _unit(raw: list[bytes], kind: str) -> np.ndarray:
+    v = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     scaled = v / np.abs(v).max(axis=1, keepdims=True)
     return scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
 
 
-def _placed(classes: DataFrame, cosine: float) -> DataFrame:
+def _placed(classes: DataFrame, cosine: float, kind: str) -> DataFrame:
     """node, key (label, block and cell), home."""
 
     def place(frames):
         for frame in frames:
-            for dims, own in frame.groupby(frame["raw"].map(len) // 8):
-                rotated = _unit(own["raw"].tolist()) @ _rotation(dims)
+            for dims, own in frame.groupby(frame["raw"].map(len) // np.dtype(kind).itemsize):
+                rotated = _unit(own["raw"].tolist(), kind) @ _rotation(dims)
                 label = own["label"].to_numpy(np.int64).astype(np.uint64)
                 for b, (at, budget) in enumerate(_blocks(dims, cosine)):
                     cell = np.floor(rotated[:, at][:, :2] / np.sqrt(budget)).astype(np.int64)
@@ -66,7 +66,7 @@ def _placed(classes: DataFrame, cosine: float) -> DataFrame:
     return classes.mapInPandas(place, "node long, block int, key long, home boolean")
 
 
-def _compared(tiles: DataFrame, cosine: float) -> DataFrame:
+def _compared(tiles: DataFrame, cosine: float, kind: str) -> DataFrame:
     """node, links (vectors linked in this tile), other (the smallest node it reaches in this tile)."""
 
     def compare(frames):
@@ -75,7 +75,7 @@ def _compared(tiles: DataFrame, cosine: float) -> DataFrame:
                 rows = [*near, *far]
                 node = np.array([r["node"] for r in rows], np.int64)
                 home, many = np.array([r["home"] for r in rows]), np.array([r["vectors"] for r in rows], np.int64)
-                unit = _unit([r["raw"] for r in rows])
+                unit = _unit([r["raw"] for r in rows], kind)
                 rotated = unit @ _rotation(unit.shape[1])
                 blocks = _blocks(unit.shape[1], cosine)
                 at, budget = blocks[block]
@@ -121,6 +121,8 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
     """
     spark = vectors.sparkSession
     label = F.col(label_col) if label_col else F.lit(0)
+    # components move in the width they came in; all arithmetic is in double precision
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), label.cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.col("v").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0)
@@ -129,11 +131,11 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
 
     def packed_bytes(frames):
         for frame in frames:
-            yield frame.assign(v=[np.asarray(x, "<f8").tobytes() for x in frame["v"]])
+            yield frame.assign(v=[np.asarray(x, kind).tobytes() for x in frame["v"]])
 
     classes = written(classes, "vector-classes")
     raw = written(classes.select("node", "label", "vectors", "v").mapInPandas(packed_bytes, "node long, label long, vectors long, v binary").withColumnRenamed("v", "raw"), "vector-bytes")
-    placed = written(_placed(raw.select("node", "label", "raw"), cosine), "vector-cells")
+    placed = written(_placed(raw.select("node", "label", "raw"), cosine, kind), "vector-cells")
     cells = placed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("home").cast("int")).alias("homes")).where("rows > 1 and homes = 1")
     tiled = placed.join(cells.select("key", "rows"), "key").withColumn("tiles", F.ceil(F.col("rows") / TILE).cast("int"))
     tiled = tiled.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -141,12 +143,8 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
     entry = F.struct("node", "home", "vectors", "raw")
     tiled = tiled.select("key", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), entry).alias("n"), F.when(F.col("own") > F.col("other"), entry).alias("f"))
     tiles = tiled.groupBy("key", "block", "i", "j").agg(F.collect_list("n").alias("near"), F.collect_list("f").alias("far")).where((F.size("near") + F.size("far") > 1) & ((F.col("i") == F.col("j")) | (F.size("near") > 0) & (F.size("far") > 0)))
-    per_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    try:
-        found = written(_compared(tiles.select("block", "near", "far"), cosine), "vector-links")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    with arrow_rows(spark, 16):  # a row is a tile
+        found = written(_compared(tiles.select("block", "near", "far"), cosine, kind), "vector-links")
     parts = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = classes.join(sums, "node", "left").join(parts, "node", "left")

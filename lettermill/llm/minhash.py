@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, bit_filter, table, written
+from .common import FILTER_BITS, arrow_rows, bit_filter, table, written
 from .components import components
 from .tokens import batches
 
@@ -218,7 +218,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 open_ = written(members.join(known, "node"), "minhash-open")
                 several = open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
                 now = open_.join(several, "key", "left_semi")
-            pairs = written(_pairs(_tiles(now), lowest, threshold, which), "minhash-pairs")
+            with arrow_rows(spark, 16):  # a row is a tile
+                pairs = written(_pairs(_tiles(now), lowest, threshold, which), "minhash-pairs")
             found = written(verified(pairs), "minhash-links")
             links = found if links is None else links.unionByName(found)
             parts = components(links)
