@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicons as L
-from .regexlib import WORD_CLASS, count, has_word, matches, sql_count, sql_matches, sql_stripped, sql_words, stripped, words
+from .regexlib import WORD_CLASS, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_words, stripped, words
 from .text import URL
 
 _GROUP_WORDS = tuple(rf"\b(?:{g.replace(' ', '|')})\b" for g in L.ENGLISH_GROUPS)
@@ -28,31 +28,37 @@ def language_bucket(text: Column, english_words: Sequence[str] = tuple(L.ENGLISH
     The words of a text are cut at white space and keep their punctuation. english_words: the dictionary of the English
     test. Null, empty and one-character texts are unknown.
     """
-    plain = stripped(text)
-    low = F.lower(plain)
-    # one struct of counts, so that the text is cut once
-    own = words(low)
-    among = lambda ws, xs: F.size(F.filter(ws, lambda w: w.isin(*xs)))
-    open_ = F.filter(own, lambda w: ~w.isin(*L.ENGLISH_EXCEPTIONS))
-    clustered = F.size(F.filter(open_, lambda w: w.rlike("|".join(L.GEORGIAN_CLUSTERS))))
-    ended = F.size(F.filter(open_, lambda w: ~w.isin("it") & w.rlike(rf"(?:{'|'.join(L.GEORGIAN_ENDINGS)})\z")))
-    clear = F.exists(own, lambda w: F.regexp_replace(w, f"[^{WORD_CLASS}]", "").isin(*L.CLEARLY_GEORGIAN))
-    n = F.size(own)
-    stop, known, structure = among(own, L.GEORGIAN_STOPWORDS), among(own, english_words), among(own, L.ENGLISH_STRUCTURE)
-    hits = _sum(F.regexp_count(low, F.lit(p)) for p in _GROUP_WORDS)
-    vowels = _sum(F.regexp_count(low, F.lit(p)) for p in _VOWELS)
-    english = (known / n >= 0.6).cast("int") + (hits >= n * 0.3).cast("int") + (structure / n >= 0.2).cast("int")
-    return (
-        F.when(text.isNull() | (F.length(plain) < 2), "unknown")
-        .when(plain.rlike(r"[\x{10A0}-\x{10FF}]"), "ka")
-        .when(~plain.rlike(r"^\p{ASCII}*\z"), "unknown")
-        .when(n == 1, F.when(stop > 0, "ka_en").otherwise("en"))
-        .when(english >= 2, "en")
-        .when((clustered / n >= 0.6) | (ended >= 6) | (stop >= 2) | (vowels >= n * 0.1), "ka_en")
-        .when(n <= 5, F.when(known / n >= 0.5, "en").when(stop > 0, "ka_en").otherwise("unknown"))
-        .when((stop > 0) | clear, "ka_en")
-        .otherwise("en")
-    )
+
+    def decided(plain: Column, low: Column, own: Column) -> Column:
+        among = lambda xs: F.size(F.filter(own, lambda w: w.isin(*xs)))
+        open_ = lambda w: ~w.isin(*L.ENGLISH_EXCEPTIONS)
+        clustered = F.size(F.filter(own, lambda w: open_(w) & w.rlike("|".join(L.GEORGIAN_CLUSTERS))))
+        ended = F.size(F.filter(own, lambda w: open_(w) & ~w.isin("it") & w.rlike(rf"(?:{'|'.join(L.GEORGIAN_ENDINGS)})\z")))
+        clear = F.exists(own, lambda w: F.regexp_replace(w, f"[^{WORD_CLASS}]", "").isin(*L.CLEARLY_GEORGIAN))
+        hits, vowels = _sum(F.regexp_count(low, F.lit(p)) for p in _GROUP_WORDS), _sum(F.regexp_count(low, F.lit(p)) for p in _VOWELS)
+        n = F.size(own)
+
+        def by_words(c: Column) -> Column:
+            stop, known, structure = c["stop"], c["known"], c["structure"]
+            english = (known / n >= 0.6).cast("int") + (hits >= n * 0.3).cast("int") + (structure / n >= 0.2).cast("int")
+            return (
+                F.when(n == 1, F.when(stop > 0, "ka_en").otherwise("en"))
+                .when(english >= 2, "en")
+                .when((clustered / n >= 0.6) | (ended >= 6) | (stop >= 2) | (vowels >= n * 0.1), "ka_en")
+                .when(n <= 5, F.when(known / n >= 0.5, "en").when(stop > 0, "ka_en").otherwise("unknown"))
+                .when((stop > 0) | clear, "ka_en")
+                .otherwise("en")
+            )
+
+        counts = F.struct(among(L.GEORGIAN_STOPWORDS).alias("stop"), among(english_words).alias("known"), among(L.ENGLISH_STRUCTURE).alias("structure"))
+        return (
+            F.when(plain.isNull() | (F.length(plain) < 2), "unknown")
+            .when(plain.rlike(r"[\x{10A0}-\x{10FF}]"), "ka")
+            .when(~plain.rlike(r"^\p{ASCII}*\z"), "unknown")
+            .otherwise(let(counts, by_words))
+        )
+
+    return let(stripped(text), lambda plain: let(F.lower(plain), lambda low: let(words(low), lambda own: decided(plain, low, own))))
 
 
 def _sql_list(xs) -> str:
@@ -121,7 +127,7 @@ def noise_flags(text: Column) -> dict[str, Column]:
     forwarded = matches(plain, FORWARDED, "im") | matches(plain, HEADER, "im")
     digits, n = count(plain, r"\d"), F.length(plain)
     cue = matches(plain, has_word(RECEIPT), "i")
-    receipt = F.when(cue, (n >= 300) | ((n >= 180) & (digits / n > 0.35))).otherwise(((n >= 300) & (digits / n > 0.45)) | (F.regexp_count(plain, F.lit("----")) >= 3) | (F.regexp_count(plain, F.lit("::")) >= 4))
+    receipt = F.when(cue, (n >= 300) | ((n >= 180) & (digits > n * 0.35))).otherwise(((n >= 300) & (digits > n * 0.45)) | (F.regexp_count(plain, F.lit("----")) >= 3) | (F.regexp_count(plain, F.lit("::")) >= 4))
     return {"forwarded": F.coalesce(forwarded, F.lit(False)), "receipt": F.coalesce(receipt, F.lit(False)), "media": mostly_media(text), "noise": F.coalesce((n < 2) | forwarded | receipt, F.lit(True))}
 
 
@@ -147,7 +153,7 @@ def mostly_media(text: Column, phrases: bool = False) -> Column:
     else:
         own = words(out)
         media = F.size(F.filter(own, lambda w: matches(w, rf"[{WORD_CLASS}]\[link\][{WORD_CLASS}]", "i")))
-    return F.coalesce((F.size(own) > 0) & (media / F.size(own) > 0.95), F.lit(False))
+    return F.coalesce((F.size(own) > 0) & (media > F.size(own) * 0.95), F.lit(False))
 
 
 # Media keys of the exports with the type each stands for, and the media marks of chat text.

@@ -64,6 +64,11 @@ def sql_matches(expr: str, pattern: str, flags: str = "") -> str:
     return f"regexp_matches({expr}, {sql_text((f'(?{flags})' if flags else '') + translated(pattern))})"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 @dataclass(frozen=True)
 class Rule:
     """pattern is replaced by put (groups as {1}); flags of i, m, s."""
@@ -84,22 +89,22 @@ class Rule:
 
 @dataclass(frozen=True)
 class Chain:
-    """Rules in strict order. gate: strings of which a text holds one, in lower case, if any of the rules can match it;
-    texts without skip all rules."""
+    """Rules in strict order. gate: patterns (case apart) of which one matches every text that a rule can match; other texts
+    skip all rules."""
 
     rules: tuple[Rule, ...]
     gate: tuple[str, ...] = field(default=())
 
     def column(self, text: Column) -> Column:
-        out = text
-        for r in self.rules:
-            out = r.column(out)
+        def all_rules(t: Column) -> Column:
+            for r in self.rules:
+                t = r.column(t)
+            return t
+
         if not self.gate:
-            return out
-        low, some = F.lower(text), F.lit(False)
-        for g in self.gate:
-            some = some | F.contains(low, F.lit(g))
-        return F.when(some, out).otherwise(text)
+            return all_rules(text)
+        some = "(?iu)" + "|".join(self.gate)
+        return let(text, lambda t: F.when(t.rlike(some), all_rules(t)).otherwise(t))
 
     def sql(self, expr: str) -> str:
         for r in self.rules:

@@ -43,15 +43,16 @@ BRACKETED_EDITS = Chain(tuple(Rule(rf"\s*<{p}>\s*", " ", _I) for p in _EDIT_VARI
 #: Edit marks with or without brackets, anywhere, inside words too.
 ALL_EDITS = Chain(BRACKETED_EDITS.rules + tuple(Rule(rf"\s*{p}\s*", " ", _I) for p in _EDIT_VARIANTS), ("edited",))
 
+_FAREWELL = "(?:best|thanks|thank you|regards|sincerely|cheers|yours|care|wishes|consideration|time|help|everything|attention),"
 _line = lambda p: Rule(rf"^\s*{p}\s*$", "", "mi")
 QUOTES = Chain(
     tuple(_line(p) for p in QUOTE_LINES)
     + tuple(_line(p + ",") for p in BARE_CLOSINGS)
     + (_line(r"--\s*[ა-ჰ]+"), _line(r"--\s*[A-Za-z]+\s*[A-Za-z]*"))
     + tuple(_line(rf"{p},\s*[A-Za-z]+") for p in CLOSINGS),
-    ("wrote:", "from:", "sent from", "get outlook", "confidentiality", "intended", "epam", "mobile:", "email:", "minsk", "--", "best", "thank", "regards", "sincerely", "cheers", "yours", "take care"),
+    ("wrote:", "from:", "sent from", "get outlook", "confidentiality caution", "intended", r"epam\.", "mobile:", "email:", "minsk,", "--", _FAREWELL),
 )
-MARKS = Chain(tuple(Rule(p, "", _I) for p in TECH_MARKS), ("<x-apple", "<mailto:", "[email]", "[link]", "[phone]"))
+MARKS = Chain(tuple(Rule(p, "", _I) for p in TECH_MARKS), ("<x-apple", "<mailto:", r"\[(?:email|link|phone)\]"))
 ENTITY_RULES = Chain(tuple(Rule(a, b) for a, b in ENTITIES), ("&",))
 INLINE = Chain((Rule(r"^\s*>\s*", "", "m"), Rule(r"On .+? wrote:", "", _I), Rule(r"([,\.!?])([A-Za-z])", "{1} {2}")))
 _end = lambda p, flags="": Rule(rf"\s*{p}\s*\z", "", flags)
@@ -66,7 +67,7 @@ SIGNATURES = Chain(
     + (_end(r"Thank you again for your time,\s*[A-Za-z]+ [A-Za-z]+", _I), _end(rf"Thank you again for your time,\s*[A-Za-z]+ [A-Za-z]+ - [a-z]+\d+ [A-Za-z]+ {COLLEGE}", _I))
     + tuple(_end(rf"{p},\s*[ა-ჰ]+\s*[ა-ჰ]*") for p in GEORGIAN_CLOSINGS)
     + (_end(rf"[A-Z][a-z]+ [A-Z][a-z]+ - [a-z]+\d+ {PROPER_COLLEGE}"), _end(rf"[A-Z][a-z]+ [A-Z][a-z]+ {PROPER_COLLEGE}")),
-    (" - ", "--", "university", ".", "best", "thank", "regards", "sincerely", "cheers", "yours", "take care", "მადლობა", "პატივისცემით"),
+    (" - [a-z0-9]", "--", r"university \d", r"[ა-ჰ]\.[ა-ჰ]", "sincerely", _FAREWELL, "მადლობა,", "პატივისცემით,"),
 )
 # Placeholders of exported chats.
 OMITTED_KINDS = r"image|video|audio|sticker|gif|document|contact(?:\s+card)?|location|photo|picture|file"

@@ -11,23 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import rules
-from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, matches, sql_stripped, stripped, translated
+from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, let, matches, sql_stripped, stripped, translated
 
 tidy, sql_tidy = TIDY.column, TIDY.sql
 
 
-def _kept(text: Column, cleaned: Column) -> Column:
-    return F.when(F.length(text) > 0, cleaned).otherwise(text)
-
-
 def clean_edited(text: Column) -> Column:
     """Every form of an edit mark becomes a space, inside words too; white space is collapsed."""
-    return _kept(text, tidy(rules.ALL_EDITS.column(text)))
+    return tidy(rules.ALL_EDITS.column(text))
 
 
 def clean_common(text: Column) -> Column:
     """Edit marks in angle brackets become a space; white space is collapsed."""
-    return _kept(text, tidy(rules.BRACKETED_EDITS.column(text)))
+    return tidy(rules.BRACKETED_EDITS.column(text))
 
 
 def sql_clean_common(expr: str) -> str:
@@ -46,7 +42,7 @@ def strip_quotes_and_signatures(text: Column) -> Column:
     out = text
     for step in QUOTE_STEPS:
         out = step.column(out)
-    return _kept(text, tidy(out))
+    return tidy(out)
 
 
 def sql_strip_quotes(expr: str) -> str:
@@ -57,7 +53,7 @@ def sql_strip_quotes(expr: str) -> str:
 
 def clean_chat_placeholders(text: Column) -> Column:
     """"image omitted" and the like, with the stamp and name before them."""
-    return _kept(text, tidy(rules.CHAT_PLACEHOLDERS.column(text)))
+    return tidy(rules.CHAT_PLACEHOLDERS.column(text))
 
 
 def clean_mail_tail(text: Column, aggressive_tail: bool = True) -> Column:
@@ -66,7 +62,7 @@ def clean_mail_tail(text: Column, aggressive_tail: bool = True) -> Column:
     out = rules.MAIL_TAILS.column(text)
     if aggressive_tail:
         out = rules.LAST_WORDS.column(out)
-    return _kept(text, tidy(rules.MAIL_ENDS.column(out)))
+    return tidy(rules.MAIL_ENDS.column(out))
 
 
 def sql_clean_mail_tail(expr: str) -> str:
@@ -174,9 +170,11 @@ _QUOTE_STARTS = r"^\s*>|^\s*On .+ wrote:\s*$|^\s*Forwarded message\s*$"
 
 
 def _lines_until(text: Column, stop) -> Column:
-    lines = F.split(text, "\n", -1)
-    at = F.array_position(F.transform(lines, stop), F.lit(True))
-    return stripped(F.array_join(F.when(at > 0, F.slice(lines, F.lit(1), (at - 1).cast("int"))).otherwise(lines), "\n"))
+    def cut(lines: Column) -> Column:
+        kept = lambda at: F.when(at > 0, F.slice(lines, F.lit(1), (at - 1).cast("int"))).otherwise(lines)
+        return F.array_join(let(F.array_position(F.transform(lines, stop), F.lit(True)), kept), "\n")
+
+    return stripped(let(F.split(text, "\n", -1), cut))
 
 
 def truncate_quotes(text: Column) -> Column:
@@ -201,10 +199,13 @@ def strip_mail_quotes(text: Column) -> Column:
     all white space is collapsed."""
     out = Rule(r"\n--\s?\z").column(text)
     out = Rule(r"(^|\n)On\s.+?wrote:\n.*\z", "", "is").column(out)
-    full = F.filter(F.split(out, "\n", -1), lambda x: F.length(tidy(x)) > 0)
-    quoted = F.size(F.filter(full, lambda x: F.ltrim(x).startswith(">")))
-    kept = F.array_join(F.filter(F.split(out, "\n", -1), lambda x: ~F.ltrim(x).startswith(">")), "\n")
-    return tidy(F.when((F.size(full) > 0) & (quoted / F.size(full) > 0.6), kept).otherwise(out))
+    open_ = lambda x: ~F.ltrim(x).startswith(">")
+
+    def unquoted(lines: Column) -> Column:
+        full = F.filter(lines, lambda x: F.length(tidy(x)) > 0)
+        return let(full, lambda own: F.when(F.size(F.filter(own, lambda x: ~open_(x))) > F.size(own) * 0.6, F.array_join(F.filter(lines, open_), "\n")).otherwise(F.array_join(lines, "\n")))
+
+    return tidy(let(F.split(out, "\n", -1), unquoted))
 
 
 def subject_norm(subject: Column) -> Column:

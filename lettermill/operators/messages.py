@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.classify import language_bucket
 from ..functions.ids import conversation_key
+from ..functions.regexlib import let
 from .ranking import keep_first
 
 
@@ -23,10 +24,10 @@ def message_view(conversations: DataFrame) -> DataFrame:
 
 def cleaned(messages: DataFrame, aggressive_tail: bool = True) -> DataFrame:
     """Bodies cleaned by platform, empty ones dropped, language bucket and conversation key added."""
-    body = T.strip_quotes_and_signatures(T.clean_common(F.coalesce("body_text", F.lit(""))))
-    out = messages.withColumn("body_text", body)
     kind = F.lower(F.coalesce("platform", F.lit("")))
-    out = out.withColumn("body_text", F.when(kind == "whatsapp", T.clean_chat_placeholders(F.col("body_text"))).when(kind == "gmail", T.clean_mail_tail(F.col("body_text"), aggressive_tail)).otherwise(F.col("body_text")))
+    by_platform = lambda t: F.when(kind == "whatsapp", T.clean_chat_placeholders(t)).when(kind == "gmail", T.clean_mail_tail(t, aggressive_tail)).otherwise(t)
+    body = let(T.strip_quotes_and_signatures(T.clean_common(F.coalesce("body_text", F.lit("")))), by_platform)
+    out = messages.withColumn("body_text", body)
     out = out.where(F.length("body_text") > 0).withColumn("lang", language_bucket(F.col("body_text")))
     return out.withColumn("date", F.coalesce("date", F.lit(""))).withColumn("conversation_key", conversation_key(F.col("platform"), F.col("conversation_id")))
 
