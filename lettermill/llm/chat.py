@@ -85,7 +85,7 @@ def formatted(conversations: DataFrame, path: str | None = None, conv_col="conv_
     """
     path = path or vocabulary(VOCABULARY)
     turns = conversations.select(
-        F.col(conv_col).cast("long").alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("t")
+        F.col(conv_col).cast("long").cast("string").alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("t")
     )
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     whole = whole.select("conv_id", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts"))
@@ -99,10 +99,10 @@ def formatted(conversations: DataFrame, path: str | None = None, conv_col="conv_
                 rows = []
                 for conv, (text, spans), e in zip(part["conv_id"].tolist(), drawn, encoder.encode_batch([d[0] for d in drawn], add_special_tokens=False), strict=True):
                     mask, parts = loss_mask(np.array(e.offsets, np.int64).reshape(-1, 2), spans)
-                    rows.append((None if pd.isna(conv) else int(conv), text, e.ids, mask.tolist(), [p[0] for p in parts], [p[1] for p in parts]))
-                yield pd.DataFrame(rows, columns=["conv_id", "formatted", "ids", "mask", "loss_starts", "loss_ends"]).astype({"conv_id": "Int64"})
+                    rows.append((conv, text, e.ids, mask.tolist(), [p[0] for p in parts], [p[1] for p in parts]))
+                yield pd.DataFrame(rows, columns=["conv_id", "formatted", "ids", "mask", "loss_starts", "loss_ends"])
 
-    return whole.mapInPandas(encode, "conv_id long, formatted string, ids array<int>, mask array<boolean>, loss_starts array<long>, loss_ends array<long>")
+    return whole.mapInPandas(encode, "conv_id string, formatted string, ids array<int>, mask array<boolean>, loss_starts array<long>, loss_ends array<long>").withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def digests(rows: DataFrame) -> DataFrame:
@@ -115,10 +115,10 @@ def digests(rows: DataFrame) -> DataFrame:
                 turns = read_back(text)
                 under = unescaped("".join(text[a:b] for a, b in zip(starts, ends, strict=True)))
                 sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-                out.append((None if pd.isna(conv) else int(conv), len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(under), sha(under), len(text)))
-            yield pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]).astype({"conv_id": "Int64"})
+                out.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(under), sha(under), len(text)))
+            yield pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return rows.drop("ids", "mask").mapInPandas(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return rows.drop("ids", "mask").withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(read, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -89,9 +89,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows, all columns, without exact copies: of equal texts the smallest id stays. If rows repeat
     that id with that text, all of them stay. Nulls as in exact_groups."""
-    groups = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    keyed = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256))
-    return keyed.alias("d").join(groups.alias("g"), F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("d.__sha") == F.col("g.__sha")), "left_semi").drop("__sha")
+    groups = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id"), "text_sha256").distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.sha2(normalised(F.col(text_col)), 256).alias("sha"))
+    return rows.join(groups, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("text_sha256")), "left_semi").select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

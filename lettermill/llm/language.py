@@ -154,7 +154,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", min_shar
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.withColumn("__found", predict(F.col(text_col))).select(*kept, "__found.lang_pred", "__found.score")
+    return docs.select(F.struct(*kept).alias("doc"), predict(F.col(text_col)).alias("found")).select("doc.*", "found.lang_pred", "found.score")
 
 
 def held_out(id_col: str = "doc_id"):

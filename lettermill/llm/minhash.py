@@ -85,7 +85,6 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
             for a, b in batches(texts):
                 rows = []
                 for doc, s in zip(frame["id"].iloc[a:b].tolist(), shingle_sets(texts[a:b], words, size), strict=True):
-                    doc = None if pd.isna(doc) else int(doc)
                     if not len(s):
                         rows.append((doc, 0, None, None, None))
                         continue
@@ -94,10 +93,11 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                     for i in range(ROWS):
                         key = mixed(key * _C + low[i::ROWS].astype(np.uint64))
                     rows.append((doc, len(s), xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63), (low & np.uint32(255)).astype(np.uint8).tobytes(), key.view(np.int64)))
-                yield pd.DataFrame(rows, columns=["id", "n_shingles", "node", "sig", "bands"]).astype({"id": "Int64", "node": "Int64"})
+                yield pd.DataFrame(rows, columns=["id", "n_shingles", "node", "sig", "bands"], dtype=object).astype({"node": "Int64"})
 
-    plain = docs.select(F.col("id"), F.col("text"))
-    return plain.mapInPandas(sign, "id long, n_shingles long, node long, sig binary, bands array<long>")
+    # an id travels as text: pandas would round it where others are null
+    plain = docs.select(F.col("id").cast("string"), F.col("text"))
+    return plain.mapInPandas(sign, "id string, n_shingles long, node long, sig binary, bands array<long>").withColumn("id", F.col("id").cast("long"))
 
 
 def _lowest(threshold: float) -> float:
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             return both.where(100 * F.col("common") >= threshold * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
         links, parts = None, None
-        for which in ("first", "nearest", "apart"):
+        for which in ("first", "apart"):
             if parts is None:
                 now = members.join(signs.withColumn("component", F.col("node")), "node")
             else:  # buckets of one component are done
@@ -235,9 +235,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
     """docs' rows and columns, one id of each component: the smallest. Nulls as in near_duplicates(); rows that share a kept
     id all stay."""
-    kept = near_duplicates(docs, id_col, text_col, threshold).where("kept").select(F.col(id_col).alias("__id"))
+    kept = near_duplicates(docs, id_col, text_col, threshold).where("kept").select(F.col(id_col).alias("kept_id"))
     ids = written(kept.distinct(), "minhash-kept")
-    return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"))
+    return rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi").select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

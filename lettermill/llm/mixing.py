@@ -102,20 +102,22 @@ def mixed_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_co
         F.max("whole_copies").alias("__whole"), F.max(F.when(F.col("extra") > 0, at)).alias("__cut"), F.max_by("extra", F.when(F.col("extra") > 0, at)).alias("__words")
     )
     cuts = written(cuts, "mix-cuts")
-    named = docs.withColumn("__size", word_count(F.col(text_col))).withColumn("__source", F.col(source_col))
+    # the document travels whole, so its columns' names can't clash with these
+    named = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     small = cuts.count() <= BROADCAST_ROWS
     side = cuts.withColumnRenamed("source", "__s")
-    rows = named.join(F.broadcast(side) if small else side, F.col("__source").eqNullSafe(F.col("__s")))
-    own = F.struct(_key(F.col(id_col), seed).alias("key"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col("__size").alias("size"))
-    extra = F.when(F.col("__cut").isNull() | (own > F.col("__cut")), F.lit(0)).when(own == F.col("__cut"), F.col("__words")).otherwise(F.col("__size"))
-    rows = rows.withColumn("__extra", extra).withColumn("__n", F.when(F.col("__size") > 0, F.col("__whole") + (F.col("__extra") > 0).cast("long")).otherwise(0)).where("__n > 0")
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
-    part = (F.col("__copy") > F.col("__whole")) & (F.col("__extra") < F.col("__size"))
-    words = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("__extra").cast("int")), " ")
-    rows = rows.withColumn(text_col, F.when(part, words).otherwise(F.col(text_col)))
+    rows = named.join(F.broadcast(side) if small else side, F.col("source").eqNullSafe(F.col("__s")))
+    own = F.struct(_key(F.col("id"), seed).alias("key"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), F.col("size").alias("size"))
+    extra = F.when(F.col("__cut").isNull() | (own > F.col("__cut")), F.lit(0)).when(own == F.col("__cut"), F.col("__words")).otherwise(F.col("size"))
+    rows = rows.withColumn("extra", extra).withColumn("n", F.when(F.col("size") > 0, F.col("__whole") + (F.col("extra") > 0).cast("long")).otherwise(0)).where("n > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    part = (F.col("copy") > F.col("__whole")) & (F.col("extra") < F.col("size"))
+    words = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("extra").cast("int")), " ")
+    rows = rows.withColumn("cut", F.when(part, words))
+    doc = F.col("doc").withField(text_col, F.coalesce("cut", "text"))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(part, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        doc = doc.withField("n_chars", F.coalesce(F.length("cut").cast(docs.schema["n_chars"].dataType), F.col("doc.n_chars")))
+    return rows.select(doc.alias("doc")).select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """Pieces of every document: id, doc_row, start, length, ids_crc32, doc_tokens and, if asked for, ids. A null text is
     an empty one; every document ends with END_ID, so none is without tokens."""
-    schema = "id long, doc_row long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    schema = "id string, doc_row long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def cut(frames):
         encoder = word_encoder(path)
@@ -61,15 +61,14 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, sequenc
                 rows = []
                 for doc, row, text in zip(frame["id"].iloc[a:b].tolist(), frame["doc_row"].iloc[a:b], texts[a:b], strict=True):
                     ids = np.append(encoder.ids(text), np.uint32(END_ID)).astype("<u4")
-                    doc = None if pd.isna(doc) else int(doc)
                     for s in range(0, len(ids), sequence):
                         part = ids[s : s + sequence]
                         rows.append((doc, row, s, len(part), zlib.crc32(part.tobytes()), len(ids), *([part.astype(int).tolist()] if with_ids else [])))
-                out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-                yield out.astype({"id": "Int64"})
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("doc_row"), F.col(text_col).alias("text"))
-    return plain.mapInPandas(cut, schema)
+    # an id travels as text: pandas would round it where others are null
+    plain = docs.select(F.col(id_col).cast("long").cast("string").alias("id"), F.monotonically_increasing_id().alias("doc_row"), F.col(text_col).alias("text"))
+    return plain.mapInPandas(cut, schema).withColumn("id", F.col("id").cast("long"))
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
@@ -90,9 +89,9 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), sequence)
         return frame.assign(sequence_id=frame["group"].astype("int64") * 2**32 + bins, offset=offsets)[columns]
 
-    fields = [f for f in full.schema.fields]
-    columns = [f.name for f in fields]
-    small = dealt.groupBy("group").applyInPandas(pack, full.schema)
+    as_text = full.withColumn("id", F.col("id").cast("string"))
+    columns = as_text.columns
+    small = dealt.withColumn("id", F.col("id").cast("string")).groupBy("group").applyInPandas(pack, as_text.schema).withColumn("id", F.col("id").cast("long"))
     return full.unionByName(small).drop("doc_row").withColumnRenamed("id", id_col)
 
 

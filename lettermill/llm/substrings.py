@@ -149,8 +149,8 @@ def _finished(frame: pd.DataFrame, with_text: bool) -> pd.DataFrame:
                 edge[s["start"] + s["size"]] -= 1
             kept = [w for w, covered in zip(words, np.cumsum(edge[:-1]), strict=True) if not covered]
         joined = b" ".join(kept)
-        rows.append((None if pd.isna(doc) else int(doc), len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode("utf-8", "surrogatepass") if with_text else None))
-    return pd.DataFrame(rows, columns=["id", "n_words", "n_removed", "kept_sha256", "text"]).astype({"id": "Int64"})
+        rows.append((doc, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode("utf-8", "surrogatepass") if with_text else None))
+    return pd.DataFrame(rows, columns=["id", "n_words", "n_removed", "kept_sha256", "text"])
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, with_text: bool = True) -> DataFrame:
@@ -172,18 +172,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def touched(key: pd.Series) -> pd.Series:
         return pd.Series(passes(bits.value, key.to_numpy().view(np.uint64)))
 
-    marked = rows.select(F.col("doc").alias("id"), "text", "row", touched("row").alias("touched"))
+    marked = rows.select(F.col("doc").cast("string").alias("id"), "text", "row", touched("row").alias("touched"))
     none = F.expr("cast(null as array<struct<start:long,size:long>>)")
     clean = marked.where("not touched").select("id", "text", none.alias("spans"))
     cut = marked.where("touched").drop("touched").join(spans, "row", "left").select("id", "text", "spans")
-    schema = "id long, n_words long, n_removed long, kept_sha256 string, text string"
+    schema = "id string, n_words long, n_removed long, kept_sha256 string, text string"
 
     def finish(frames):
         for frame in frames:
             for a, b in batches([t or "" for t in frame["text"]], 1_500_000):
                 yield _finished(frame.iloc[a:b], with_text)
 
-    out = clean.mapInPandas(finish, schema).unionByName(cut.mapInPandas(finish, schema)).withColumnRenamed("id", id_col)
+    out = clean.mapInPandas(finish, schema).unionByName(cut.mapInPandas(finish, schema)).withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", id_col)
     return out if with_text else out.drop("text")
 
 
