@@ -44,7 +44,7 @@ class Text:
     """The words of several texts in one array of hashes."""
 
     def __init__(self, texts: list[str], words: _Words):
-        if len(words) > 200_000:
+        if len(words) > 150_000:
             words.clear()
         cut = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         self.counts = np.array([len(c) for c in cut], np.int64)
@@ -82,7 +82,7 @@ def _each(frames, columns):
     words = _Words()
     for frame in frames:
         texts = [t or "" for t in frame["text"]]
-        for a, b in batches(texts, 1_500_000):
+        for a, b in batches(texts, 800_000):
             yield Text(texts[a:b], words), *[frame[c].to_numpy()[a:b] for c in columns]
 
 
