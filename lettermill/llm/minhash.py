@@ -23,10 +23,12 @@ from .tokens import batches
 SHINGLE = 5
 #: 32 bands of 6 minima: a pair at similarity 0.85 shares no band with a probability of 3e-7, at 0.8 of 6e-5.
 BANDS, ROWS = 32, 6
+#: Minima in all: those beyond the bands sharpen the estimate that spares a pair the comparison of its sets.
+MINIMA = 512
 TILE = 512
 _rng = np.random.RandomState(20)
-_A = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
-_B = _rng.randint(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
+_A = (_rng.randint(0, 1 << 31, MINIMA).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
+_B = _rng.randint(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,8 +70,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     """Minima of the universal hashes a * x + b, modulo 2 to the 32."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     low = np.full(len(_A), np.uint32(0xFFFFFFFF))
-    for i in range(0, len(x), 2048):
-        h = _A[:, None] * x[i : i + 2048]
+    for i in range(0, len(x), 512):
+        h = _A[:, None] * x[i : i + 512]
         h += _B[:, None]
         low = np.minimum(low, h.min(axis=1))
     return low
@@ -91,7 +93,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                     low = signature(s)
                     key = np.arange(BANDS, dtype=np.uint64)
                     for i in range(ROWS):
-                        key = mixed(key * _C + low[i::ROWS].astype(np.uint64))
+                        key = mixed(key * _C + low[i : BANDS * ROWS : ROWS].astype(np.uint64))
                     rows.append((doc, len(s), xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63), (low & np.uint32(255)).astype(np.uint8).tobytes(), key.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["id", "n_shingles", "node", "sig", "bands"], dtype=object).astype({"node": "Int64"})
 
@@ -102,14 +104,13 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 def _lowest(threshold: float) -> float:
     """The share of equal minima below which a pair at the threshold falls with a probability of about 3e-5."""
-    return threshold - 4 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+    return threshold - 4 * (threshold * (1 - threshold) / MINIMA) ** 0.5
 
 
 def _pairs(tiles: DataFrame, lowest: float, threshold: int, which: str) -> DataFrame:
     """Pairs a < b that signatures and set sizes allow, from tiles (key of the bucket; home, away: arrays of node, component,
     n, sig, bands; away empty where the tile meets itself). which: "first", each class with the first it may be linked with
-    and the nearest before it; "nearest", each with the nearest of another component; "apart", all of different components,
-    in the first bucket they share."""
+    and the nearest before it; "apart", all of different components, in the first bucket they share."""
 
     def compare(frames):
         for frame in frames:
@@ -125,9 +126,9 @@ def _pairs(tiles: DataFrame, lowest: float, threshold: int, which: str) -> DataF
                 order = np.argsort(node, kind="stable")
                 node, part, size, sig, bands, tile = node[order], part[order], size[order], sig[order], bands[order], tile[order]
                 found = set()
-                for i in range(0 if which == "nearest" else 1, len(node)):
-                    to = slice(None) if which == "nearest" else slice(i)
-                    alike = ((sig[to] == sig[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                for i in range(1, len(node)):
+                    to = slice(i)
+                    alike = (np.count_nonzero(sig[to] == sig[i], axis=1) / MINIMA - 1 / 256) / (1 - 1 / 256)
                     good = (alike >= lowest) & (100 * np.minimum(size[to], size[i]) >= threshold * np.maximum(size[to], size[i]))
                     if len(away):
                         good &= tile[to] != tile[i]
@@ -139,8 +140,8 @@ def _pairs(tiles: DataFrame, lowest: float, threshold: int, which: str) -> DataF
                         other = np.flatnonzero(good)
                         other = other[bands[i][(bands[other] == bands[i]).argmax(axis=1)] == key]
                     else:
-                        other = {int(np.argmax(np.where(good, alike, -1)))} | ({int(np.argmax(good))} if which == "first" else set())
-                    found.update((min(int(node[j]), int(node[i])), max(int(node[j]), int(node[i]))) for j in other)
+                        other = {int(np.argmax(np.where(good, alike, -1))), int(np.argmax(good))}
+                    found.update((int(node[j]), int(node[i])) for j in other)
                 if found:
                     yield pd.DataFrame(sorted(found), columns=["a", "b"])
 
