@@ -87,6 +87,19 @@ def test_pii_discovers_by_context(spark):
     assert [(s["start"], s["end"]) for s in r["identifier"]] == [(16, 28)]
 
 
+def test_pii_counts_whole_spans_of_several_tokens(spark):
+    known = [(i, f"Text. the clinic answers +1 (017) 555-77{i:02} by day") for i in range(8)]
+    said = [
+        (50, "😀 x clinic answers 0171 555 98 76 now"),
+        (51, "clinic answers 12 - 3456 a@b.org, +1 (017) 555-7700 77 88 99 by day"),
+        (52, "clinic answers\n5551234\n5554321"),
+        (53, "in room 0171 555 98 76 now"),
+    ]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["identifier"]] for r in pii.find_personal_data(_docs(spark, known + said)).collect()}
+    assert {k: [t[a:b] for a, b in got[k]] for k, t in said} == {50: ["0171 555 98 76"], 51: ["12 - 3456"], 52: ["5551234"], 53: []}
+    assert all(got[i] == [] for i, _ in known)
+
+
 def test_substrings(spark, corpus):
     rows = sorted(corpus, key=lambda r: r[0])
     seen, want = set(), {}
