@@ -110,6 +110,11 @@ def html_to_text(spark, d):
     return _table(spark, d, "pages").select("page_id", T.html_to_text(F.col("html")).alias("body"))
 
 
+@query()
+def html_to_text_full(spark, d):
+    return _table(spark, d, "pages").select("page_id", T.html_to_text(F.col("html"), full=True).alias("body"))
+
+
 _SUBJECT = "CASE WHEN conv_id % 2 = 0 THEN 'Re: Fwd:  ' || text ELSE ' FWD:' || text END"
 
 
