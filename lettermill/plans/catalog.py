@@ -148,8 +148,14 @@ def pii_redact_social(spark, d):
 
 @query()
 def mojibake_repair(spark, d):
-    garbled = F.decode(F.encode(F.lit("“quoted” – text 😀 "), "UTF-8"), "ISO-8859-1")
-    return _table(spark, d, "conversations").select("conv_id", "turn", T.fix_mojibake(F.concat(garbled, F.lit("x"))).alias("fixed"), T.fix_double_escapes(F.concat(F.lit("\\u10D0 "), F.col("role"))).alias("unescaped"))
+    """Repairs of the texts as they are, and (the tables hold few broken texts) of the whole texts broken with a sample
+    appended: garbled is repaired to the text and the sample."""
+    text = F.col("text")
+    garbled = F.decode(F.encode(F.concat(text, F.lit(" “quoted” – text 😀 ")), "UTF-8"), "ISO-8859-1")
+    return _table(spark, d, "conversations").select(
+        "conv_id", "turn", T.fix_mojibake(text).alias("fixed"), T.fix_double_escapes(text).alias("unescaped"),
+        T.fix_mojibake(garbled).alias("fixed_garbled"), T.fix_double_escapes(F.concat(text, F.lit(" \\u10D0"))).alias("unescaped_sample"),
+    )
 
 
 @query(f"SELECT doc_id, {T.sql_has_emoji('text')} AS has_emoji, {T.sql_only_emoji('text')} AS only_emoji FROM documents")

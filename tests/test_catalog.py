@@ -12,3 +12,14 @@ def test_html_to_text_full_decodes_every_entity(spark, tmp_path):
     got = {r["page_id"]: r["body"] for r in catalog.QUERIES["html_to_text_full"](spark, str(tmp_path)).collect()}
     plain = lambda t: html.unescape(re.sub("<[^>]+>", "", re.sub(r"<\s*(br|/p)\s*>", "\n", t, flags=re.I)))
     assert got == {k: t if t is None else plain(t) for k, t in pages} and got[1] == "© 2020 · a <b>\nééé &copy; & x\n"
+
+
+def test_mojibake_repair_reads_the_whole_text(spark, tmp_path):
+    broken = "été – “oui” 😀".encode().decode("latin1")
+    said = [(1, 0, "user", broken), (1, 1, "assistant", "plain\\u10D0 words"), (1, 2, "user", "été à midi"), (1, 3, "user", ""), (1, 4, "user", None)]
+    spark.createDataFrame(said, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = sorted(catalog.QUERIES["mojibake_repair"](spark, str(tmp_path)).collect(), key=lambda r: r["turn"])
+    assert [r["fixed"] for r in rows] == ["été – “oui” 😀", "plain\\u10D0 words", "été à midi", "", None]
+    assert [r["unescaped"] for r in rows] == [broken, "plainა words", "été à midi", "", None]
+    assert [r["fixed_garbled"] for r in rows] == [None if t is None else t + " “quoted” – text 😀 " for *_, t in said]
+    assert [r["unescaped_sample"] for r in rows[1:]] == ["plainა words ა", "été à midi ა".encode().decode("latin1").replace("á\x83\x90", "ა"), " ა", None]
