@@ -184,8 +184,13 @@ def token_estimates(spark, d):
 
 @query()
 def content_types(spark, d):
-    line = F.when(F.col("turn") % 3 == 0, F.lit("image omitted")).when(F.col("turn") % 3 == 1, F.lit("www.example.org/a")).otherwise(F.col("text"))
-    return _table(spark, d, "conversations").select("conv_id", "turn", C.chat_content_type(line).alias("content_type"), C.chat_reply_hint(line).alias("reply_hint"))
+    """Of every text as it is, and of the whole text with a media mark, a link or a reply mark added."""
+    text = F.col("text")
+    return _table(spark, d, "conversations").select(
+        "conv_id", "turn", C.chat_content_type(text).alias("content_type"), C.chat_reply_hint(text).alias("reply_hint"),
+        C.chat_content_type(F.concat(text, F.lit(" image omitted"))).alias("marked_type"), C.chat_content_type(F.concat(text, F.lit(" www.example.org/a"))).alias("linked_type"),
+        C.chat_reply_hint(F.concat(F.lit("> "), text)).alias("quoted_hint"),
+    )
 
 
 # ---- language -------------------------------------------------------------------------------------------------------

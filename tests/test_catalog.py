@@ -23,3 +23,12 @@ def test_mojibake_repair_reads_the_whole_text(spark, tmp_path):
     assert [r["unescaped"] for r in rows] == [broken, "plainა words", "été à midi", "", None]
     assert [r["fixed_garbled"] for r in rows] == [None if t is None else t + " “quoted” – text 😀 " for *_, t in said]
     assert [r["unescaped_sample"] for r in rows[1:]] == ["plainა words ა", "été à midi ა".encode().decode("latin1").replace("á\x83\x90", "ა"), " ა", None]
+
+
+def test_content_types_reads_every_text(spark, tmp_path):
+    said = ["voice message", "> yes, at noon", "ok", "see you there", None]
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(said)], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = sorted(catalog.QUERIES["content_types"](spark, str(tmp_path)).collect(), key=lambda r: r["turn"])
+    assert [(r["content_type"], r["reply_hint"]) for r in rows] == [("voice", False), ("text", True), ("text", False), ("text", False), ("other", False)]
+    assert [r["marked_type"] for r in rows] == ["voice", "photo", "photo", "photo", "other"] and [r["linked_type"] for r in rows] == ["voice", "text", "link", "text", "other"]
+    assert [r["quoted_hint"] for r in rows] == [True] * 4 + [False]
