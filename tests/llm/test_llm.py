@@ -100,6 +100,13 @@ def test_pii_counts_whole_spans_of_several_tokens(spark):
     assert all(got[i] == [] for i, _ in known)
 
 
+def test_pii_lets_the_pattern_decide_on_every_candidate(spark):
+    known = [(i, f"Text. reach me at person{i}@mail{i}.org or come to room person{i}@mail{i}.org") for i in range(8)]
+    said = [(50, "and reach me at @handle now"), *[(100 + i, f"come to room {i}") for i in range(30)], (51, "come to room 98765 now")]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["identifier"]] for r in pii.find_personal_data(_docs(spark, known + said)).collect()}
+    assert {k for k in got if got[k]} == {50} and got[50] == [(16, 23)]
+
+
 def test_substrings(spark, corpus):
     rows = sorted(corpus, key=lambda r: r[0])
     seen, want = set(), {}
