@@ -250,16 +250,87 @@ def test_lm_scoring(spark, corpus):
     assert rows[300]["bits_per_byte"] is None
 
 
+def _start(rng=None):
+    flat = {n: np.full((bits, len(sizes)), 0.3) for n, (bits, sizes) in lm_scoring.STREAMS.items()}
+    return flat if rng is None else {n: w + rng.normal(size=w.shape) * 0.1 for n, w in flat.items()}
+
+
 def test_mixer_is_a_probability():
     """All values of one decision chain share probability 1."""
     table = np.random.RandomState(0).normal(size=lm_scoring.SLOTS).astype(np.float32)
     total = 0.0
     for value in range(256):
         one = np.array([value]), np.array([0]), np.array([0])
-        total += 10 ** lm_scoring.mix([("class", one[2], one[1], one[0], tuple(np.array([x]) for x in (0, 5, 9, 3)))], table, 1)[0]
+        total += 10 ** lm_scoring.mix([("class", one[2], one[1], one[0], tuple(np.array([x]) for x in (0, 5, 9, 3)))], table, _start(), 1)[0]
     assert total == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("name", ["repeat", "class", "place", "byte"])
+def test_mixer_against_plain_python(name):
+    """One decision after another, weights stepped at the ends of chunks."""
+    rng = np.random.RandomState(4)
+    table, start = rng.normal(size=lm_scoring.SLOTS).astype(np.float32), _start(rng)
+    bits, sizes = lm_scoring.STREAMS[name]
+    sizes_of_docs = (1, 7, 40, 90)
+    doc, pos = np.repeat(range(4), sizes_of_docs), np.concatenate([np.arange(n) for n in sizes_of_docs])
+    value, contexts = rng.randint(0, 1 << bits, len(doc)), [rng.randint(0, min(s, 500), len(doc)) for s in sizes]
+    want = []
+    for k in range(4):
+        w, total, at = start[name].astype(float).copy(), 0.0, 0
+        own = np.flatnonzero(doc == k)
+        while at < len(own):
+            size = lm_scoring.FIRST_CHUNK * (at // lm_scoring.FIRST_CHUNK + 1)
+            step, chunk = np.zeros_like(w), own[at : at + size]
+            for t in chunk:
+                for d, (bit,), slots in [(d, b, sl) for d, b, sl in lm_scoring._decisions(name, value[t : t + 1], [c[t : t + 1] for c in contexts])]:
+                    x = np.array([table[s[0]] for s in slots], float)
+                    p = 1 / (1 + math.exp(-w[d] @ x))
+                    total += math.log10(p if bit else 1 - p)
+                    step[d] += (bit - p) * x
+            w += lm_scoring.RATES[name] * step / (len(chunk) + 8)
+            at += size
+        want.append(total)
+    assert lm_scoring.mix([(name, doc, pos, value, tuple(contexts))], table, start, 4) == pytest.approx(want, rel=1e-4)
+
+
+def test_choices_against_plain_python():
+    """The last choice of each token, one token after another."""
+    rng = np.random.RandomState(6)
+    docs = [rng.randint(0, 12, n) for n in (1, 5, 60)]
+    k_of, leaf_of = rng.randint(0, 5, 12), rng.randint(0, 3, 12)
+    totals = np.zeros((2, 1 << 16), np.int64)
+    for w in range(12):
+        totals[:, leaf_of[w]] += k_of[w] * np.array([1, 2])
+    learn, word = np.array([False, True, True]), np.concatenate(docs)
+    again, _, got = lm_scoring._choices(word, leaf_of[word], k_of[word], np.cumsum([0, *map(len, docs)]), totals, learn)
+    want, flags = [], []
+    for i, d in enumerate(docs):
+        held = []
+        for w in d:
+            flags.append(w in held)
+            if w in held:
+                mass = sum(k_of[v] for v in set(held))
+                share = held.count(w) / len(held)
+                want.append(math.log10((share + k_of[w] / mass) / 2 if mass else share))
+            else:
+                rest = totals[int(learn[i]), leaf_of[w]] - sum(k_of[v] for v in set(held) if leaf_of[v] == leaf_of[w])
+                want.append(math.log10(k_of[w] / rest) if k_of[w] else 0.0)
+            held.append(w)
+    assert again.tolist() == flags and got == pytest.approx(want)
+
+
+def test_fit_recovers_what_the_counts_say(spark, corpus):
+    """Fitted weights code the training documents in fewer bits than the start's."""
+    docs = lm_scoring._blocked(_docs(spark, corpus), "doc_id", "text", F.lit(True))
+    rows = lm_scoring.written(lm_scoring._word_rows(docs), "t")
+    counts = rows.groupBy("word").agg(F.sum("n").alias("c"))
+    encoded = lm_scoring.written(lm_scoring._encoded(docs, rows.select("block", "word").join(counts, "word"), 1000, 100, np.full((2, 1 << 16), 10_000)), "t")
+    gathered = lm_scoring._gathered(encoded)
+    table, own = lm_scoring.logits(gathered), encoded.select(*lm_scoring.ENCODED).toPandas()
+    run = lambda start: lm_scoring.mix(lm_scoring._streams(*lm_scoring._unpacked(own)), table, start, len(own)).sum()
+    assert run(lm_scoring.fitted(encoded, gathered)) > run(_start())
+
+
 def test_empty_tables(spark):
     none = _docs(spark, []) if False else spark.createDataFrame([], CLASH)
     for out in (
