@@ -24,6 +24,8 @@ MIN_SHARE = 2e-5
 #: ... and at least this share of what it makes up where it is most frequent.
 MIN_OF_MOST = 0.5
 GRAM = 3
+#: Characters looked at together: a worker holds about 100 bytes for each.
+CHARS = 400_000
 SLOTS, HASHES = 1 << 20, 3
 UNDECIDED = "und"
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -115,7 +117,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for frame in frames:
             for lang, own in frame.groupby("lang"):
                 texts = own["text"].tolist()
-                for a, b in batches(texts):
+                for a, b in batches(texts, CHARS):
                     gram, n = np.unique(grams(texts[a:b])[0], return_counts=True)
                     yield pd.DataFrame({"gram": gram.astype(np.int64), "language": index[lang], "n": n})
 
@@ -144,7 +146,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", min_shar
     def predict(column: pd.Series) -> pd.DataFrame:
         own, texts = shared.value, [t or "" for t in column]
         names, scores = [UNDECIDED] * len(texts), [0.0] * len(texts)
-        for a, b in batches(texts) if own.languages else ():
+        for a, b in batches(texts, CHARS) if own.languages else ():
             n, hits = own.counts(texts[a:b])
             best = hits.argmax(axis=1)
             for i in range(b - a):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import batches, vocabulary, word_encoder
+from .tokens import batches, vocabulary, text_encoder
 
 SEQUENCE = 2048
 END_ID = 1
@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, sequenc
     schema = "id string, doc_row long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def cut(frames):
-        encoder = word_encoder(path)
+        encoder = text_encoder(path)
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
             for a, b in batches(texts):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 
@@ -17,13 +18,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def tokenizer(path: str):
-    if path not in _loaded:
+def tokenizer(path: str, plain: bool = False):
+    """plain: strings of special tokens in a text are ordinary text."""
+    if (path, plain) not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = Tokenizer.from_file(path)
-    return _loaded[path]
+        _loaded[path, plain] = Tokenizer.from_file(path)
+        _loaded[path, plain].encode_special_tokens = plain
+    return _loaded[path, plain]
 
 
 class WordEncoder(dict):
@@ -31,10 +34,11 @@ class WordEncoder(dict):
 
     Such a tokenizer never looks across ASCII white space, so each distinct word is encoded once and its ids are kept as
     little-endian bytes. A comma or stop after an ASCII letter, at a word's end, is a token run of its own. The memory kept
-    is bounded: over MOST_WORDS the store is emptied; words over LONGEST bytes are encoded each time.
+    is bounded: over MOST_WORDS (about 200 bytes each) the store is emptied; words over LONGEST bytes are encoded each time.
+    Only for tokenizers that wordwise() accepts.
     """
 
-    MOST_WORDS, LONGEST = 1_000_000, 64
+    MOST_WORDS, LONGEST = 250_000, 64
 
     def __init__(self, path: str):
         self.encode = tokenizer(path).encode
@@ -57,11 +61,29 @@ class WordEncoder(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, raw.split())), "<u4")  # bytes.split: space and the controls 9 to 13
 
 
-def word_encoder(path: str) -> WordEncoder:
+class TextEncoder:
+    """Ids of a whole text, for tokenizers of any other kind."""
+
+    def __init__(self, path: str):
+        self.encode = tokenizer(path).encode
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids, "<u4")
+
+
+def wordwise(path: str) -> bool:
+    """Whether a tokenizer drops case and everything between words, so that a text's ids are those of its words."""
+    kind = json.loads(tokenizer(path).to_str())
+    steps = lambda part: (kind[part] or {}).get("normalizers" if part == "normalizer" else "pretokenizers") or [kind[part] or {}]
+    split = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") and "\\s" in str(s.get("pattern")) for s in steps("pre_tokenizer"))
+    return split and any(s.get("type") == "Lowercase" for s in steps("normalizer"))
+
+
+def text_encoder(path: str):
     """One for each Python worker, kept over its tasks."""
-    if (path, "words") not in _loaded:
-        _loaded[path, "words"] = WordEncoder(path)
-    return _loaded[path, "words"]
+    if (path, "ids") not in _loaded:
+        _loaded[path, "ids"] = (WordEncoder if wordwise(path) else TextEncoder)(path)
+    return _loaded[path, "ids"]
 
 
 def batches(texts: list[str], most_chars: int = 4_000_000):
