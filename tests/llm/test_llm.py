@@ -172,6 +172,24 @@ def test_chat(spark):
         assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(own), brute.sha(own))
 
 
+def test_chat_mask_is_exact():
+    """Every masked token lies inside an assistant text, whatever the text begins and ends with."""
+    from lettermill.llm.tokens import tokenizer, vocabulary
+
+    ends = ["Sure", "x.", ".", "<", "</turn>", "###", " lead", "trail \n", "\n\n", " ", "\u00a0é", "😀", "'s", "12", "\\", "\\u20;", "<|endoftext|>", "a\r\n\r\nb", "", "\x1c", "日本\u3000", "#"]
+    encoder = tokenizer(vocabulary("byte_bpe_50k.json"), plain=True)
+    for a in ends:
+        for b in ends:
+            turns = [("user", b), ("assistant", a + b), ("assistant", a), ("as:sistant", b + a), ("assistant", b)]
+            text, spans = chat.render(turns)
+            offsets = np.array(encoder.encode(text, add_special_tokens=False).offsets)
+            mask = chat.loss_mask(offsets, spans)
+            inside = [any(s <= x and y <= e for s, e in spans) for x, y in offsets]
+            assert mask.tolist() == inside and chat.read_back(text) == turns
+            under = "".join(text[s:e] for s, e in chat.covered(offsets, mask))
+            assert chat.unescaped(under) == "".join(t for r, t in turns if r == "assistant")
+
+
 def test_packing(spark, corpus):
     from tokenizers import Tokenizer
 
