@@ -107,6 +107,36 @@ def test_pii_lets_the_pattern_decide_on_every_candidate(spark):
     assert {k for k in got if got[k]} == {50} and got[50] == [(16, 23)]
 
 
+def test_pii_shapes_and_single_words(spark):
+    full = lambda head: next(head + d for d in "0123456789" if brute.luhn(head + d))
+    cards = [full(str(433716659846439 + 7919 * i)) for i in range(6)]
+    known = [(i, f"word{chr(97 + i)} {c} x{chr(97 + i)}") for i, c in enumerate(cards)] + [(10 + i, f"{w} token = \"{'0a1b2c3d' * 4}{i}\" end") for i, w in enumerate(["ab", "cd", "ef", "gh", "ij", "kl"])]
+    said = [(50, "elsewhere 1234567890123456 there"), (51, "a token = Q7-zz now"), (52, "in 1999 and 4.0. or 12")]
+    got = {r["doc_id"]: r for r in pii.find_personal_data(_docs(spark, known + said)).collect()}
+    ids = {k: [t[s["start"] : s["end"]] for s in got[k]["identifier"]] for k, t in said}
+    assert ids == {50: ["1234567890123456"], 51: ["Q7-zz"], 52: []}
+    assert all(len(got[10 + i]["secret"]) == 1 and not got[10 + i]["identifier"] for i in range(6))
+
+
+def test_pii_of_many_matches_in_one_text(spark):
+    """Time isn't the square of a text's matches."""
+    import time
+
+    texts = [" ".join(f"a{i}@b.org" for i in range(30_000)), ",".join(f"1.2.3.{i % 300}" for i in range(30_000)), "\n".join(f"{i} is" for i in range(100_000))]
+    docs = _docs(spark, list(enumerate(texts)))
+    began = time.perf_counter()
+    rows = sorted(pii.find_personal_data(docs).collect(), key=lambda r: r["doc_id"])
+    assert time.perf_counter() - began < 90
+    for r, text in zip(rows, texts, strict=True):
+        assert [(k, s["start"], s["end"]) for k in pii.KINDS for s in r[k]] == brute.base_pii(text)
+
+
+def test_pii_redacted(spark):
+    rows = [(1, "é a@b.com 300.1.1.1 and 1.2.3.4, +1 (988) 555-2485 or 4337166598464399 not 4337166598464398"), (2, None), (3, ""), (4, "plain"), (5, "+1.2.3.4567890 x@y.zz")]
+    got = {r["doc_id"]: r["text"] for r in pii.redacted(_docs(spark, rows)).collect()}
+    assert got == {1: "é [EMAIL] 300.1.1.1 and [IP], [PHONE] or [CARD] not 4337166598464398", 2: None, 3: "", 4: "plain", 5: "[PHONE] [EMAIL]"}
+
+
 def test_substrings(spark, corpus):
     rows = sorted(corpus, key=lambda r: r[0])
     seen, want = set(), {}
