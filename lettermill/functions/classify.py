@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicons as L
-from .regexlib import WORD_CLASS, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_words, stripped, words
+from .regexlib import WORD_CLASS, Rule, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_text, sql_words, stripped, words
 from .text import URL
 
 _GROUP_WORDS = tuple(rf"\b(?:{g.replace(' ', '|')})\b" for g in L.ENGLISH_GROUPS)
@@ -179,6 +179,19 @@ def chat_content_type(text: Column) -> Column:
     return out.when(plain.rlike(url) & (F.length(bare) <= 4), "link").when(F.length(plain) > 0, "text").otherwise("other")
 
 
+def sql_chat_content_type(expr: str) -> str:
+    plain = sql_stripped(f"coalesce({expr}, '')")
+    kinds = " ".join(f"WHEN regexp_matches({plain}, {sql_text(p)}) THEN '{k}'" for k, p in MEDIA_MARKS)
+    url = rf"\b(?:{URL})"
+    bare = sql_stripped(Rule(url, "", "i").sql(plain))
+    return f"CASE {kinds} WHEN {sql_matches(plain, url, 'i')} AND length({bare}) <= 4 THEN 'link' WHEN length({plain}) > 0 THEN 'text' ELSE 'other' END"
+
+
+def sql_chat_reply_hint(expr: str) -> str:
+    plain = sql_stripped(f"coalesce({expr}, '')")
+    return f"(starts_with({plain}, '> ') OR starts_with({plain}, '⤷'))"
+
+
 def chat_reply_hint(text: Column) -> Column:
     plain = stripped(F.coalesce(text, F.lit("")))
     return plain.startswith("> ") | plain.startswith("⤷")

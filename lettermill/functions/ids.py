@@ -58,7 +58,9 @@ def partner_id(addresses: Column, separator: str = "|") -> Column:
 
 
 def iso_from_ms(ms: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(F.floor(ms / 1000)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """UTC to the second, whatever the session's zone."""
+    at = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=F.floor(ms / 1000).cast("decimal(18,6)"))
+    return F.concat(F.replace(at.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 # The date forms of chat exports, tried in order.

@@ -187,6 +187,12 @@ def truncate_chat_quotes(text: Column) -> Column:
     return _lines_until(text, lambda line: line.startswith("> ") | line.startswith("⤷"))
 
 
+def sql_truncate_chat_quotes(expr: str) -> str:
+    lines = f"string_split({expr}, chr(10))"
+    at = f"list_position([starts_with(x, '> ') OR starts_with(x, '⤷') FOR x IN {lines}], true)"
+    return sql_stripped(f"array_to_string(CASE WHEN {at} > 0 THEN {lines}[1:{at} - 1] ELSE {lines} END, chr(10))")
+
+
 def sql_truncate_quotes(expr: str) -> str:
     lines = f"string_split({expr}, chr(10))"
     test = f"regexp_matches(x, '(?i){translated(_QUOTE_STARTS)}')"

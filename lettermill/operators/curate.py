@@ -80,3 +80,34 @@ def corpus_stats(records: DataFrame, pairs: DataFrame, monos: DataFrame) -> Data
 def split_leakage(items: DataFrame, split: DataFrame, thread: str = "conversation") -> DataFrame:
     """Threads that stand in more than one split, as splits made language by language allow."""
     return items.join(split, thread).groupBy(thread).agg(F.collect_set("split").alias("splits")).where(F.size("splits") > 1)
+
+
+def in_split(items: DataFrame, split: DataFrame, thread: str = "conversation") -> DataFrame:
+    """items with the split of their thread; items of threads in no split go. Both sides are large: an equi-join that adapts."""
+    return items.join(split.select(F.col(thread).alias("__t"), "split"), F.col(thread) == F.col("__t")).drop("__t")
+
+
+def split_by_language(items: DataFrame, lang: str = "lang", thread: str = "conversation", **shares) -> DataFrame:
+    """lang, thread, split: each language's threads split by themselves, of those in which items stand."""
+    return exact_split(items.where(F.col(lang).isNotNull() & (F.col(lang) != "unknown")).select(lang, thread), thread, group=[lang], **shares)
+
+
+def first_partner_turn(context: Column) -> Column:
+    """Text of the first (not the latest) partner turn; null without one."""
+    return F.get(F.filter(context, lambda t: t["role"] == "partner"), F.lit(0))["text"]
+
+
+def answered(pairs: DataFrame, date: Column) -> DataFrame:
+    """partner_email, your_response, original_id, meta of pairs from 2020 on whose first partner turn and target have text."""
+    from ..functions.ids import from_2020_on
+
+    rows = pairs.where(from_2020_on(date)).select(first_partner_turn(F.col("context")).alias("partner_email"), F.col("target_text").alias("your_response"), F.col("id").alias("original_id"), "meta")
+    return rows.where((F.length("partner_email") > 0) & (F.length("your_response") > 0))
+
+
+def selection_stats(scored: DataFrame, selected: Column) -> DataFrame:
+    """One row: total, selected, selection_rate (0.0 for none), and the selected rows' mean style and specialised scores."""
+    return scored.agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(selected).alias("selected"), F.coalesce(F.try_divide(F.count_if(selected).cast("double"), F.count(F.lit(1))), F.lit(0.0)).alias("selection_rate"),
+        F.coalesce(F.avg(F.when(selected, F.col("style_score"))), F.lit(0.0)).alias("avg_style"), F.coalesce(F.avg(F.when(selected, F.col("specialized_score"))), F.lit(0.0)).alias("avg_specialized"),
+    )

@@ -69,3 +69,33 @@ def weighted_mix(pairs: DataFrame, monos: DataFrame, pair_weight: int = 3, mono_
 def length_buckets(rows: DataFrame, column: str, n: int) -> DataFrame:
     """Rows of like length in the same partition, for batches with little padding."""
     return rows.repartitionByRange(n, F.length(column)).sortWithinPartitions(F.length(column))
+
+
+def without_nulls(rows: DataFrame) -> DataFrame:
+    """Mapped examples that came to nothing go: those without messages or labels."""
+    return rows.where(F.col("messages").isNotNull() & (F.size("messages") > 0) & F.col("labels").isNotNull())
+
+
+def validation_set(pairs: DataFrame, monos: DataFrame, seed: int = 42) -> DataFrame:
+    """All rows of both (id, messages, labels) in their own proportions, with kind and a seeded order key."""
+    both = without_nulls(pairs).select("id", "messages", "labels", F.lit("pair").alias("kind")).unionByName(without_nulls(monos).select("id", "messages", "labels", F.lit("mono").alias("kind")))
+    return both.withColumn("order_key", hash_key(F.col("kind"), F.col("id"), seed=seed))
+
+
+def tokenized(rows: DataFrame, column: str, path: str | None = None, most: int = 2048) -> DataFrame:
+    """rows with tokens, the first `most` of the text's, and n_tokens, how many it has in all; no padding. path: a tokenizer file
+    (ids); without one, words. A null text has none."""
+    if path is None:
+        from ..functions.regexlib import words
+
+        return rows.withColumn("__all", F.coalesce(words(F.col(column)), F.expr("cast(array() as array<string>)"))).withColumn("tokens", F.slice("__all", F.lit(1), F.lit(most))).withColumn("n_tokens", F.size("__all").cast("long")).drop("__all")
+    import pandas as pd
+
+    @F.pandas_udf("ids array<int>, n long")
+    def encode(texts: pd.Series) -> pd.DataFrame:
+        from tokenizers import Tokenizer
+
+        ids = [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        return pd.DataFrame({"ids": [i[:most] for i in ids], "n": [len(i) for i in ids]})
+
+    return rows.withColumn("__e", encode(F.col(column))).withColumn("tokens", F.col("__e.ids")).withColumn("n_tokens", F.col("__e.n")).drop("__e")

@@ -69,3 +69,25 @@ def language_backfill(df: DataFrame, group: str, lang: str, order: str, unknown:
 def first_n(df: DataFrame, order: list, n: int) -> DataFrame:
     """The first n rows in order; none for 0."""
     return df.orderBy(*order).limit(n)
+
+
+def conversation_order(messages: DataFrame, thread: str, by: str = "path", path: str = "source_file") -> DataFrame:
+    """thread and place (sorts as conversations are taken): by path, path without case, or size (characters in all, small
+    first, then the thread)."""
+    if by == "size":
+        return messages.groupBy(thread).agg(F.struct(F.lpad(F.coalesce(F.sum(F.length("body_text")), F.lit(0)).cast("string"), 20, "0").alias("first"), F.first(thread).cast("string").alias("then")).alias("place"))
+    name = F.min(F.lower(path) if by == "folded" else F.col(path))
+    return messages.groupBy(thread).agg(F.struct(F.coalesce(name, F.lit("")).alias("first"), F.first(thread).cast("string").alias("then")).alias("place"))
+
+
+def running_limit(messages: DataFrame, n: int, thread: str, by: str = "path", path: str = "source_file", index: str = "thread_index") -> DataFrame:
+    """The first n messages as conversations are taken one after another, each in its own order; none for 0. The best n of each
+    task are all that moves."""
+    placed = messages.join(conversation_order(messages, thread, by, path), thread)
+    return placed.orderBy("place", index).limit(n).drop("place")
+
+
+def direction_counts(messages: DataFrame, thread: str = "conversation_id") -> DataFrame:
+    """One row: messages, inbound, outbound, conversations."""
+    side = lambda d: F.count_if(F.col("direction") == d).alias(d)
+    return messages.agg(F.count(F.lit(1)).alias("messages"), side("inbound"), side("outbound"), F.countDistinct(thread).alias("conversations"))

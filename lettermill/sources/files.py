@@ -59,9 +59,9 @@ def read_dataset(spark: SparkSession, path: str, split: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("split") == split).drop("split")
 
 
-def read_ratings(spark: SparkSession, root: str) -> DataFrame:
+def read_ratings(spark: SparkSession, root: str, names: str = "*raters_packet*.csv") -> DataFrame:
     """Rater CSVs (…raters_packet….csv) of a folder, with experiment_id and rater_id from the file's name."""
-    rows = spark.read.option("header", True).option("pathGlobFilter", "*raters_packet*.csv").schema("prompt_id string, answer string, key string, guess string, confidence_1to5 int").csv(root)
+    rows = spark.read.option("header", True).option("pathGlobFilter", names).schema("prompt_id string, answer string, key string, guess string, confidence_1to5 int").csv(root)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
     return rows.withColumn("experiment_id", F.regexp_replace(stem, r"_?raters_packet.*$", "")).withColumn("rater_id", F.regexp_extract(stem, r"raters_packet_?(.*)$", 1))
 
@@ -83,3 +83,18 @@ def edits_cleaned(rows: DataFrame) -> DataFrame:
     if "context" in rows.columns:
         out = out.withColumn("context", F.transform("context", lambda t: t.withField("text", clean_edited(t["text"]))))
     return out
+
+
+def rewrite_tree(spark: SparkSession, root: str, out: str, schema: str, names: str = "*.jsonl") -> DataFrame:
+    """Every file of JSON lines below root, edit marks cleaned, under out in a folder that names its path below root; the result
+    counts rows and changed fields a file."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", names).json(root)
+    below = F.regexp_extract(F.col("_metadata.file_path"), rf"{root.rstrip('/').split('/')[-1]}/(.+)$", 1)
+    done = edits_cleaned(rows.withColumn("source_path", below))
+    done.drop("changed").write.option("ignoreNullFields", False).partitionBy("source_path").json(out)
+    return done.groupBy("source_path").agg(F.count(F.lit(1)).alias("rows"), F.sum("changed").cast("long").alias("changed"))
+
+
+def write_stats(stats: DataFrame, root: str, by: str = "lang_part", mode: str = "errorifexists") -> None:
+    """Statistics as JSON, a folder a language; rows without a language are the overall ones."""
+    stats.withColumn(by, F.coalesce(by, F.lit("all"))).repartition(by).write.mode(mode).partitionBy(by).json(root)

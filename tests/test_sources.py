@@ -74,3 +74,38 @@ def test_streaming(spark, tmp_path):
         q = df.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start()
         q.awaitTermination()
     assert spark.table("d").count() == 2 and [r["n"] for r in spark.table("e").collect()] == [2]
+
+
+def test_social_participants_may_be_plain_strings(spark, tmp_path):
+    folder = tmp_path / "inbox" / "x"
+    folder.mkdir(parents=True)
+    said = [{"sender_name": "Bob", "timestamp_ms": 1, "content": "hi", "zeta": 1, "reactions": [{"reaction": "👍", "actor": "Al B"}]}]
+    (folder / "message_1.json").write_text(json.dumps({"participants": ["Alice", {"name": "Carol"}], "messages": said}))
+    (r,) = social.parse(spark, str(tmp_path), ["bob"]).collect()
+    assert r["participants"] == ["alice", "bob", "carol"] and r["source_keys"] == ["content", "reactions", "sender_name", "timestamp_ms", "zeta"] and r["reactions"][0]["actor"] == "al_b"
+
+
+def test_generation_frame(spark):
+    from lettermill.operators import generation
+
+    rows = spark.createDataFrame([(1, "abc"), (2, "x"), (3, None)], "id int, p string")
+
+    def call(t):
+        if t == "x":
+            raise ValueError("no")
+        return t * 2
+
+    got = {r["id"]: r["o"] for r in generation.generated(rows, "p", "o", call, retries=1, least=4).collect()}
+    assert got == {1: "abcabc", 2: "ERROR: no", 3: None}
+    short = {r["id"]: r["o"] for r in generation.generated(rows, "p", "o", call, retries=1, least=9).collect()}
+    assert short == {1: "ERROR: too short", 2: "ERROR: no", 3: None}
+
+
+def test_tokenized_with_a_file(spark):
+    from lettermill.operators import dataset
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    if not __import__("os").path.exists(path):
+        return
+    (r, e) = dataset.tokenized(spark.createDataFrame([("hello world again",), (None,)], "t string").coalesce(1), "t", path, most=2).collect()
+    assert len(r["tokens"]) == 2 and r["n_tokens"] == 3 and (e["tokens"], e["n_tokens"]) == ([], 0)
