@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import re
-import tempfile
-import uuid
 from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch
+
 #: A word is a longest run of characters other than the space and the five ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -43,27 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir of the session. Where that is unset, a session on one machine
-    (a test) gets a temporary folder; a cluster's executors couldn't see one, so there it is an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors see")
-        found = tempfile.mkdtemp(prefix="lettermill-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes df as Parquet into the shared folder and reads it back. Rows survive the
     loss of any executor, and later plans start from a plain scan. The folder goes when the driver ends."""
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
