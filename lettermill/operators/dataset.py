@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +90,6 @@ def tokenized(rows: DataFrame, column: str, path: str | None = None, most: int =
         from ..functions.regexlib import words
 
         return rows.withColumn("__all", F.coalesce(words(F.col(column)), F.expr("cast(array() as array<string>)"))).withColumn("tokens", F.slice("__all", F.lit(1), F.lit(most))).withColumn("n_tokens", F.size("__all").cast("long")).drop("__all")
-    import pandas as pd
-
     @F.pandas_udf("ids array<int>, n long")
     def encode(texts: pd.Series) -> pd.DataFrame:
         from tokenizers import Tokenizer
