@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, table, written
 from .components import components
-from .minhash import mixed
+from .tokens import mixed
 
 MIN_COSINE = 0.93
 BLOCK_DIMS = 16

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import FILTER_BITS, arrow_rows, bit_filter, table, written
 from .components import components
-from .tokens import batches
+from .tokens import batches, hashed_words, mixed
 
 SHINGLE = 5
 #: 32 bands of 6 minima: a pair at similarity 0.85 shares no band with a probability of 3e-7, at 0.8 of 6e-5.
@@ -26,80 +26,73 @@ BANDS, ROWS = 32, 6
 #: Minima in all: those beyond the bands sharpen the estimate that spares a pair the comparison of its sets.
 MINIMA = 512
 TILE = 512
+#: Characters hashed together.
+CHARS = 800_000
 _rng = np.random.RandomState(20)
 _A = (_rng.randint(0, 1 << 31, MINIMA).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _rng.randint(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Words(dict):
-    """64-bit hash of each word, kept while it is needed; emptied when it is large."""
-
-    def __missing__(self, word):
-        found = xxhash.xxh64_intdigest(word)
-        if len(word) < 64:
-            self[word] = found
-        return found
-
-
-def shingle_sets(texts: list[str], words: _Words, size: int = SHINGLE):
+def shingle_sets(texts: list[str], size: int = SHINGLE):
     """Sorted distinct 64-bit hashes of each text's shingles: of runs of size words, A-Z in lower case; of the whole
     sequence if it is shorter; none without words."""
-    if len(words) > 200_000:
-        words.clear()
-    for t in texts:
-        cut = t.encode("utf-8", "surrogatepass").lower().split()
-        if not cut:
+    (words,), counts = hashed_words(texts, (2,), fold=True)
+    n = max(0, len(words) - size + 1)
+    runs = np.full(n, np.uint64(size), np.uint64)
+    for i in range(size):
+        runs = mixed(runs * _C + words[i : i + n])
+    at = 0
+    for count in counts.tolist():
+        if count >= size:
+            yield np.unique(runs[at : at + count - size + 1])
+        elif count:
+            one = np.array([count], np.uint64)
+            for h in words[at : at + count]:
+                one = mixed(one * _C + h)
+            yield one
+        else:
             yield np.zeros(0, np.uint64)
-            continue
-        h = np.fromiter(map(words.__getitem__, cut), np.uint64, len(cut))
-        k = min(size, len(h))
-        out = np.full(len(h) - k + 1, np.uint64(k), np.uint64)
-        for i in range(k):
-            out = mixed(out * _C + h[i : len(h) - k + 1 + i])
-        yield np.unique(out)
+        at += count
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Minima of the universal hashes a * x + b, modulo 2 to the 32."""
+def signature(shingles: np.ndarray, count: int = MINIMA) -> np.ndarray:
+    """The first count minima of the universal hashes a * x + b, modulo 2 to the 32."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(len(_A), np.uint32(0xFFFFFFFF))
+    low = np.full(count, np.uint32(0xFFFFFFFF))
     for i in range(0, len(x), 512):
-        h = _A[:, None] * x[i : i + 512]
-        h += _B[:, None]
+        h = _A[:count, None] * x[i : i + 512]
+        h += _B[:count, None]
         low = np.minimum(low, h.min(axis=1))
     return low
 
 
+def _digest(shingles: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63)
+
+
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """id, n_shingles, node (digest of the set; null for an empty one), sig (low byte of every minimum), bands."""
+    """id, n_shingles, node (digest of the set; null for an empty one), bands."""
 
     def sign(frames):
-        words = _Words()
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
-            for a, b in batches(texts):
+            for a, b in batches(texts, CHARS):
                 rows = []
-                for doc, s in zip(frame["id"].iloc[a:b].tolist(), shingle_sets(texts[a:b], words, size), strict=True):
+                for doc, s in zip(frame["id"].iloc[a:b].tolist(), shingle_sets(texts[a:b], size), strict=True):
                     if not len(s):
-                        rows.append((doc, 0, None, None, None))
+                        rows.append((doc, 0, None, None))
                         continue
-                    low = signature(s)
+                    low = signature(s, BANDS * ROWS)
                     key = np.arange(BANDS, dtype=np.uint64)
                     for i in range(ROWS):
-                        key = mixed(key * _C + low[i : BANDS * ROWS : ROWS].astype(np.uint64))
-                    rows.append((doc, len(s), xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63), (low & np.uint32(255)).astype(np.uint8).tobytes(), key.view(np.int64)))
-                yield pd.DataFrame(rows, columns=["id", "n_shingles", "node", "sig", "bands"], dtype=object).astype({"node": "Int64"})
+                        key = mixed(key * _C + low[i::ROWS].astype(np.uint64))
+                    rows.append((doc, len(s), _digest(s), key.view(np.int64)))
+                yield pd.DataFrame(rows, columns=["id", "n_shingles", "node", "bands"], dtype=object).astype({"node": "Int64"})
 
     # an id travels as text: pandas would round it where others are null
     plain = docs.select(F.col("id").cast("string"), F.col("text"))
-    return plain.mapInPandas(sign, "id string, n_shingles long, node long, sig binary, bands array<long>").withColumn("id", F.col("id").cast("long"))
+    return plain.mapInPandas(sign, "id string, n_shingles long, node long, bands array<long>").withColumn("id", F.col("id").cast("long"))
 
 
 def _lowest(threshold: float) -> float:
@@ -160,25 +153,26 @@ def _tiles(members: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """node, shingles (sorted array) of the members. Texts are read again where they lie; the filter spares most of them."""
+    """node, shingles (sorted array) and sig (low byte of every minimum) of the members. Texts are read again where they lie;
+    the filter spares most of them."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(members, "node"))
 
     def again(frames):
-        words, keep = _Words(), bits.value
+        keep = bits.value
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
-            for a, b in batches(texts):
+            for a, b in batches(texts, CHARS):
                 rows = []
-                for s in shingle_sets(texts[a:b], words, size):
+                for s in shingle_sets(texts[a:b], size):
                     if len(s):
-                        node = xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63)
+                        node = _digest(s)
                         at = node % FILTER_BITS
                         if keep[at >> 3] >> (at & 7) & 1:
-                            rows.append((node, s.view(np.int64)))
+                            rows.append((node, s.view(np.int64), (signature(s) & np.uint32(255)).astype(np.uint8).tobytes()))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["node", "shingles"])
+                    yield pd.DataFrame(rows, columns=["node", "shingles", "sig"])
 
-    return docs.select("text").mapInPandas(again, "node long, shingles array<long>")
+    return docs.select("text").mapInPandas(again, "node long, shingles array<long>, sig binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80, size: int = SHINGLE) -> DataFrame:
@@ -195,14 +189,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     try:
         signed = written(_signed(plain, size), "minhash-signed")
-        classes = written(signed.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "minhash-classes")
+        classes = written(signed.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-classes")
         banded = classes.select("node", F.explode("bands").alias("key"))
         shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
         members = written(banded.join(shared, "key"), "minhash-members")
         nodes = members.select("node").distinct()
-        signs = written(nodes.join(classes.select("node", "n", "sig", "bands"), "node"), "minhash-signs")
         # of several documents of one class, any one's set serves: they are the same
-        sets = written(_sets(plain, signs, size).groupBy("node").agg(F.first("shingles").alias("shingles")).join(nodes, "node", "left_semi"), "minhash-sets")
+        sets = written(_sets(plain, nodes, size).groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sig").alias("sig")).join(nodes, "node", "left_semi"), "minhash-sets")
+        signs = written(sets.select("node", "sig").join(classes, "node").select("node", "n", "sig", "bands"), "minhash-signs")
         lowest = _lowest(threshold / 100)
 
         def verified(pairs: DataFrame) -> DataFrame:
@@ -227,7 +221,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
     labelled = signed.select("id", "n_shingles", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = labelled.where("component is not null").groupBy("component").agg(F.min("id").alias("low"))
+    # written, so that the join has exchanges of its own and a component with most of the rows can be split
+    smallest = written(labelled.where("component is not null").groupBy("component").agg(F.min("id").alias("low")), "minhash-smallest")
     out = labelled.join(smallest, "component", "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("low"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.col("node").alias("class_id"), own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))

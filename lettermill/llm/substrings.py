@@ -20,50 +20,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, bit_filter, passes, table, written
-from .minhash import _Words, mixed
-from .tokens import batches
+from .tokens import batches, hashed_words, mixed, powers
 
 WINDOW = 20
 KMER = 8
+#: Rows sent to Python at once.
+BATCH = 1000
 _SEEDS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict = {}
-
-
-def _power(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """seed ** i and its inverses modulo 2 ** 64, for i < n."""
-    if seed not in _powers or len(_powers[seed][0]) < n:
-        size = max(n, 1 << 18)
-        up = np.full(size, np.uint64(seed), np.uint64)
-        down = np.full(size, np.uint64(pow(seed, -1, 1 << 64)), np.uint64)
-        up[0] = down[0] = 1
-        _powers[seed] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers[seed]
 
 
 class Text:
-    """The words of several texts in one array of hashes."""
+    """The words of several texts as arrays of hashes; two independent ones, of which the second verifies the first."""
 
-    def __init__(self, texts: list[str], words: _Words):
-        if len(words) > 150_000:
-            words.clear()
-        cut = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        self.counts = np.array([len(c) for c in cut], np.int64)
+    def __init__(self, texts: list[str], verify: bool = True):
+        self.hashes, self.counts = hashed_words(texts, (0, 1) if verify else (0,))
+        self.size = len(self.hashes[0])
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self.hashes = np.fromiter((words[w] for c in cut for w in c), np.uint64, self.starts[-1])
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
-        self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.hashes + np.uint64(i)) * _power(s, len(self.hashes) + 1)[0][: len(self.hashes)], dtype=np.uint64)]) for i, s in enumerate(_SEEDS)]
+        self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers(s, self.size + 1)[0][: self.size], dtype=np.uint64)]) for h, s in zip(self.hashes, _SEEDS, strict=False)]
 
     def fingerprint(self, which: int, start: np.ndarray, size) -> np.ndarray:
         """64-bit hash of the words from each start."""
-        total, back = self.sums[which], _power(_SEEDS[which], len(self.hashes) + 1)[1]
+        total, back = self.sums[which], powers(_SEEDS[which], self.size + 1)[1]
         return mixed((total[start + size] - total[start]) * back[start] + np.uint64(1) * np.asarray(size).astype(np.uint64))
 
     def segments(self, window: int = WINDOW, k: int = KMER):
         """start, number of windows and minimizer of each segment; starts count over all texts."""
-        n = len(self.hashes) - window + 1
+        n = self.size - window + 1
         if n <= 0:
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-        kmers = self.fingerprint(0, np.arange(len(self.hashes) - k + 1), k)
+        kmers = self.fingerprint(0, np.arange(self.size - k + 1), k)
         low, at = kmers[:n].copy(), np.zeros(n, np.int64)
         for j in range(1, window - k + 1):
             less = kmers[j : j + n] < low
@@ -77,13 +63,12 @@ class Text:
         return first, stop - first, low[first]
 
 
-def _each(frames, columns):
+def _each(frames, columns, verify: bool = True):
     """Text and the given columns of every batch of bounded size."""
-    words = _Words()
     for frame in frames:
         texts = [t or "" for t in frame["text"]]
         for a, b in batches(texts, 800_000):
-            yield Text(texts[a:b], words), *[frame[c].to_numpy()[a:b] for c in columns]
+            yield Text(texts[a:b], verify), *[frame[c].to_numpy()[a:b] for c in columns]
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -92,7 +77,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = rows.sparkSession
 
     def count(frames):
-        for text in _each(frames, ()):
+        for text in _each(frames, (), verify=False):
             m, n = np.unique(text[0].segments(window)[2], return_counts=True)
             yield pd.DataFrame({"m": m.view(np.int64), "n": n})
 
@@ -163,7 +148,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     rows = rows.select("doc", F.coalesce("doc", F.lit(2**63 - 1)).alias("id"), "text", F.xxhash64("doc", "text").alias("row"))
-    with arrow_rows(docs.sparkSession, 1000):
+    with arrow_rows(docs.sparkSession, BATCH):
         spans = repeated_spans(rows.select("row", "id", "text"), window)
     spans = written(spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "size")).alias("spans")), "graph-spans")
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(spans, "row"))
@@ -184,9 +169,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield _finished(frame.iloc[a:b], with_text)
 
     out = clean.mapInPandas(finish, schema).unionByName(cut.mapInPandas(finish, schema)).withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", id_col)
-    return out if with_text else out.drop("text")
+    with arrow_rows(docs.sparkSession, BATCH):
+        return written(out if with_text else out.drop("text"), "graph-kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # the result is computed after this returns
     return without_repeats(table(spark, sf_dir, "documents"), with_text=False)

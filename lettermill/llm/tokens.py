@@ -96,3 +96,60 @@ def batches(texts: list[str], most_chars: int = 4_000_000):
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+# ---- word hashes --------------------------------------------------------------------------------------------------------
+
+#: White space between words: the space and the controls 9 to 13.
+_GAP = np.zeros(256, bool)
+_GAP[[32, *range(9, 14)]] = True
+_BASE = 0x9E3779B97F4A7C13  # odd, 3 modulo 8: its powers differ in a low bit
+_powers: dict = {}
+_letters: dict = {}
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** i and its inverses modulo 2 ** 64, for i < n. Kept up to 2 ** 21, which serves all but very long texts."""
+    found = _powers.get(base)
+    if found is None or len(found[0]) < n:
+        size = max(n, 1 << 18)
+        up, down = np.full(size, np.uint64(base), np.uint64), np.full(size, np.uint64(pow(base, -1, 1 << 64)), np.uint64)
+        up[0] = down[0] = 1
+        found = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        if size <= 1 << 21:
+            _powers[base] = found
+    return found
+
+
+def _letter(seed: int, fold: bool) -> np.ndarray:
+    """A random number for each byte; fold: A-Z have those of a-z."""
+    if (seed, fold) not in _letters:
+        table = np.random.RandomState(1000 + seed).randint(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        if fold:
+            table[65:91] = table[97:123]
+        _letters[seed, fold] = table
+    return _letters[seed, fold]
+
+
+def hashed_words(texts: list[str], seeds=(0,), fold: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each seed the 64-bit hashes of all words of all texts, one text after another, and each text's number of words.
+
+    A hash is the sum of a random number for each byte, drawn by the seed, times a power for its place in the word: prefix sums
+    over the bytes give all words' at once."""
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    raw = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", np.uint8)
+    gap = _GAP[raw]
+    first, stop = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1, np.flatnonzero(~gap[:-1] & gap[1:]) + 1
+    up, down = powers(_BASE, len(raw) + 1)
+    out = []
+    for seed in seeds:
+        total = np.cumsum(_letter(seed, fold)[raw] * up[: len(raw)], dtype=np.uint64)
+        out.append(mixed((total[stop - 1] - total[first - 1]) * down[first] + (stop - first).astype(np.uint64)))
+    ends = np.cumsum([len(p) + 1 for p in parts]) + 1 if parts else np.zeros(0, np.int64)
+    return out, np.diff(np.searchsorted(first, ends), prepend=0)
