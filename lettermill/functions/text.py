@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import rules
-from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, let, matches, sql_stripped, stripped, translated
+from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, let, matches, sql_stripped, sql_text, stripped, translated
 
 tidy, sql_tidy = TIDY.column, TIDY.sql
 
@@ -56,6 +56,10 @@ def clean_chat_placeholders(text: Column) -> Column:
     return tidy(rules.CHAT_PLACEHOLDERS.column(text))
 
 
+def sql_clean_chat_placeholders(expr: str) -> str:
+    return sql_tidy(rules.CHAT_PLACEHOLDERS.sql(expr))
+
+
 def clean_mail_tail(text: Column, aggressive_tail: bool = True) -> Column:
     """What mail programs leave at the end. aggressive_tail: also the last two or three words of a text that doesn't end
     in punctuation, as the pipeline this serves has always done."""
@@ -127,6 +131,30 @@ def redact_mail(text: Column) -> Column:
     return _bounded(Rule(_MAIL_URL, "[LINK]").column(out), _ID_MAIL, "[ID]")
 
 
+def _sql_standing(expr: str, pattern: str, put: str, after: bool = True) -> str:
+    """pattern between other than word characters; twice, as what stands between two matches serves both."""
+    for _ in range(2):
+        expr = f"regexp_replace({expr}, {sql_text(rf'(^|[^{WORD_CLASS}])(?:{translated(pattern)})' + (rf'($|[^{WORD_CLASS}])' if after else ''))}, {sql_text(chr(92) + '1' + put + (chr(92) + '2' if after else ''))}, 'g')"
+    return expr
+
+
+def sql_redact_mail(expr: str) -> str:
+    out = Rule(_MAIL_ADDRESS, "[EMAIL]").sql(expr)
+    out = _sql_standing(out, r"\+?\d[\d\s().-]{8,}\d", "[PHONE]")
+    return _sql_standing(Rule(_MAIL_URL, "[LINK]").sql(out), _ID_MAIL, "[ID]")
+
+
+def sql_redact_social(expr: str) -> str:
+    """Without the rules on units of years and on runs of one digit, which need what follows a match."""
+    out = _sql_standing(expr, f"(?i:{URL})", "[LINK]", after=False)
+    out = _sql_standing(out, f"(?i:{EMAIL})", "[EMAIL]")
+    out = _sql_standing(_sql_standing(out, PHONE_RUN, "[PHONE]"), _ID_LOOSE, "[ID]")
+    out = sql_tidy(out)
+    for p, put in _TIDY_PUNCTUATION:
+        out = Rule(p, put).sql(out)
+    return out
+
+
 def redact_phones(text: Column, units: tuple[str, ...] = ("weli", "tseli")) -> Column:
     """Runs of 7 to 15 digits, unless a unit of years follows or all digits are one digit."""
     tail = "|".join(f" {u}" for u in units)
@@ -214,6 +242,15 @@ def strip_mail_quotes(text: Column) -> Column:
     return tidy(let(F.split(out, "\n", -1), unquoted))
 
 
+def sql_strip_mail_quotes(expr: str) -> str:
+    out = Rule(r"(^|\n)On\s.+?wrote:\n.*\z", "", "is").sql(Rule(r"\n--\s?\z").sql(expr))
+    lines = f"string_split({out}, chr(10))"
+    full = f"[x FOR x IN {lines} IF length({sql_tidy('x')}) > 0]"
+    quoted = "starts_with(ltrim(x, ' '), '>')"
+    cut = f"CASE WHEN len([x FOR x IN {full} IF {quoted}]) > len({full}) * 0.6 THEN array_to_string([x FOR x IN {lines} IF NOT {quoted}], chr(10)) ELSE {out} END"
+    return sql_tidy(cut)
+
+
 def subject_norm(subject: Column) -> Column:
     """Without one leading reply or forward mark; white space collapsed."""
     return tidy(Rule(r"^(Re|Fwd|Fw|Forward|Reply):\s*", "", "i").column(stripped(subject)))

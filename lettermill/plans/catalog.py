@@ -89,7 +89,7 @@ def mail_tail_clean(spark, d):
     return _table(spark, d, "conversations").select("conv_id", "turn", T.clean_mail_tail(F.col("text")).alias("body"))
 
 
-@query()
+@query(f"SELECT conv_id, turn, {T.sql_clean_chat_placeholders(chr(39).join(['text || ', ' [2/13/23, 8:46:17 PM] Ana Lopez: image omitted', '']))} AS body FROM conversations")
 def chat_placeholder_clean(spark, d):
     body = F.concat("text", F.lit(" [2/13/23, 8:46:17 PM] Ana Lopez: image omitted"))
     return _table(spark, d, "conversations").select("conv_id", "turn", T.clean_chat_placeholders(body).alias("body"))
@@ -100,7 +100,7 @@ def truncate_quotes(spark, d):
     return _table(spark, d, "conversations").select("conv_id", "turn", T.truncate_quotes(_signed()).alias("body"))
 
 
-@query()
+@query(f"SELECT doc_id, {T.sql_strip_mail_quotes('text')} AS body FROM documents")
 def mail_quote_strip(spark, d):
     return _docs(spark, d).select("doc_id", T.strip_mail_quotes(F.col("text")).alias("body"))
 
@@ -136,12 +136,12 @@ def pii_redact_email_url(spark, d):
     return _docs(spark, d).select("doc_id", Rule(r"https?://\S+", "[LINK]").column(Rule(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]").column(F.col("text"))).alias("body"))
 
 
-@query()
+@query(f"SELECT doc_id, {T.sql_redact_mail('text')} AS body FROM documents")
 def pii_redact_mail(spark, d):
     return _docs(spark, d).select("doc_id", T.redact_mail(F.col("text")).alias("body"))
 
 
-@query()
+@query(f"SELECT doc_id, {T.sql_redact_social('text')} AS body FROM documents")
 def pii_redact_social(spark, d):
     return _docs(spark, d).select("doc_id", T.redact_social(F.col("text")).alias("body"))
 
@@ -182,7 +182,8 @@ def token_estimates(spark, d):
     return _docs(spark, d).select("doc_id", T.token_est(F.col("text")).alias("floor_est"), T.token_est(F.col("text"), up=True).alias("ceil_est"))
 
 
-@query()
+@query(f"""SELECT conv_id, turn, {C.sql_chat_content_type('text')} AS content_type, {C.sql_chat_reply_hint('text')} AS reply_hint, {C.sql_chat_content_type("(text || ' image omitted')")} AS marked_type,
+ {C.sql_chat_content_type("(text || ' www.example.org/a')")} AS linked_type, {C.sql_chat_reply_hint("('> ' || text)")} AS quoted_hint FROM conversations""")
 def content_types(spark, d):
     """Of every text as it is, and of the whole text with a media mark, a link or a reply mark added."""
     text = F.col("text")
@@ -298,13 +299,22 @@ def mono_examples(spark, d):
     return curate.standalone(_records(spark, d)).select("id", "text")
 
 
-@query()
+_CURATED = f"""
+WITH b AS (SELECT conv_id::VARCHAR AS conversation_id, turn AS thread_index, CASE WHEN role = 'assistant' THEN 'you' ELSE 'partner' END AS turn_role, {T.sql_strip_quotes(T.sql_clean_common("coalesce(text, '')"))} AS body_text FROM conversations),
+f AS (SELECT arg_min({{'c': conversation_id, 'i': thread_index, 'r': turn_role, 'b': body_text}}, (lpad(thread_index::VARCHAR, 6, '0'), conversation_id, thread_index)) AS x FROM b WHERE body_text <> '' GROUP BY {T.sql_dedup_text("(body_text || '|' || turn_role)")}),
+k AS (SELECT row_number() OVER (ORDER BY x.c, x.i) AS row_key, x.c AS conversation_id, x.i AS thread_index, x.r AS turn_role, x.b AS body_text FROM f), l AS ({C.sql_language_bucket("k", "row_key", "body_text")})
+SELECT conversation_id, thread_index, turn_role, body_text, lang FROM k JOIN l USING (row_key)"""
+
+
+@query(_CURATED)
 def curated_records(spark, d):
     rows = messages.without_repeats(messages.cleaned(_messages(spark, d)), ["date", "conversation_id", "thread_index"])
     return rows.select("conversation_id", "thread_index", "turn_role", "body_text", "lang")
 
 
-@query()
+@query(views.PAIRS_SQL + f""", monos AS ({views.MONOS_SQL}), r AS (SELECT count(*) AS records_total, count(DISTINCT conv_id) AS unique_conversations FROM records),
+p AS (SELECT count(*) AS pair_total, coalesce(avg(length(target_text)), 0) AS avg_pair_len FROM pairs), m AS (SELECT count(*) AS mono_total, coalesce(avg(length(text)), 0) AS avg_mono_len FROM monos)
+SELECT *, '{{"chat":' || records_total || '}}' AS by_platform, '{{"en":' || records_total || '}}' AS by_lang FROM r, p, m""")
 def corpus_stats(spark, d):
     rows = _records(spark, d)
     out = curate.corpus_stats(rows, curate.context_pairs(rows), curate.standalone(rows))
@@ -389,9 +399,10 @@ def eval_topk(spark, d):
     return stylometry.top_style(stylometry.style_scores(_docs(spark, d)).withColumn("style_score", F.round("style_score", 6)), 50, ["doc_id"]).select("doc_id", "specialized_score", "style_score", "word_count")
 
 
-@query("SELECT year(o_orderdate) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) >= 2020 GROUP BY 1")
+@query("SELECT year(o_orderdate) + 24 AS year, count(*) AS n FROM orders WHERE year(o_orderdate) + 24 >= 2020 GROUP BY 1")
 def year_filter(spark, d):
-    rows = _table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"))
+    """Orders 24 years on: some before 2020, some after."""
+    rows = _table(spark, d, "orders").select(F.concat((F.year("o_orderdate") + 24).cast("string"), F.date_format("o_orderdate", "-MM-dd'T'HH:mm:ss")).alias("date"))
     return rows.where(I.from_2020_on(F.col("date"))).groupBy(I.year_of(F.col("date")).cast("long").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 

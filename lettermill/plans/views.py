@@ -15,9 +15,9 @@ _noise = sql_noise_flags("body")["noise"]
 _RECORDS = f"""
 WITH base AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'you' ELSE 'partner' END AS role, {T.sql_clean_common("coalesce(text, '')")} AS body FROM conversations),
 records AS (SELECT *, {_noise} AS noise, {sql_stripped('body')} AS plain, conv_id::VARCHAR || '-' || turn::VARCHAR || '-' || turn::VARCHAR AS tail FROM base WHERE body <> '')"""
-_MONOS = f"SELECT 'mono-' || tail AS id, plain AS text FROM records WHERE role = 'you' AND NOT noise AND (length(plain) >= 30 OR len({sql_words('plain')}) >= 5)"
+MONOS_SQL = f"SELECT 'mono-' || tail AS id, plain AS text FROM records WHERE role = 'you' AND NOT noise AND (length(plain) >= 30 OR len({sql_words('plain')}) >= 5)"
 _artefacts = "".join(f" AND NOT contains(lower(text), '{a}')" for a in ARTEFACTS)
-MONO_SQL = f"""{_RECORDS}, all_monos AS ({_MONOS}), monos AS (SELECT * FROM all_monos WHERE length(text) >= 3{_artefacts})
+MONO_SQL = f"""{_RECORDS}, all_monos AS ({MONOS_SQL}), monos AS (SELECT * FROM all_monos WHERE length(text) >= 3{_artefacts})
 """
 PAIRS_SQL = f"""{_RECORDS},
 framed AS (SELECT *, coalesce(list({{'role': role, 'text': body, 'noise': noise}}) OVER (PARTITION BY conv_id ORDER BY lpad(turn::VARCHAR, 6, '0'), turn ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), []) AS frame,
@@ -28,7 +28,7 @@ pairs AS (SELECT 'pair-' || tail AS id, array_to_string(ctx, chr(10)) AS context
 """
 _clean = "".join(f" AND NOT contains(lower(target_text), '{a}')" for a in ARTEFACTS)
 CHAT_SQL = f""", chats AS (SELECT id, array_to_string([CASE WHEN starts_with(c, 'you: ') THEN 'assistant=' || substr(c, 6) ELSE 'user=' || substr(c, 10) END FOR c IN ctx], chr(10)) || chr(10) || 'assistant=' || target_text AS messages, target_text
-FROM pairs WHERE length(target_text) >= 3{_clean}), monos_of_pairs AS (SELECT id FROM ({_MONOS}) WHERE length(text) >= 3{_artefacts})
+FROM pairs WHERE length(target_text) >= 3{_clean}), monos_of_pairs AS (SELECT id FROM ({MONOS_SQL}) WHERE length(text) >= 3{_artefacts})
 """
 
 
