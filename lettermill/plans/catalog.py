@@ -446,15 +446,15 @@ def syntactic(spark, d):
 
 def _ngram_sql(n):
     return f"""
-WITH t AS (SELECT conv_id, turn, lower({T.sql_tidy('text')}) AS t FROM conversations), g AS (SELECT conv_id, turn, t, unnest(CASE WHEN length(t) >= {n} THEN range(1, length(t) - {n - 2}) ELSE [] END) AS i FROM t),
-f AS (SELECT conv_id, turn, substr(t, i, {n}) AS g, count(*)::DOUBLE AS f FROM g GROUP BY ALL), a AS (SELECT conv_id, turn, sum(f) AS n, count(*)::DOUBLE AS v FROM f GROUP BY ALL),
-e AS (SELECT conv_id, turn, any_value(n) AS n, any_value(v) AS v, -sum(f / n * log2(f / n)) AS h FROM f JOIN a USING (conv_id, turn) GROUP BY ALL)
-SELECT conv_id, turn, {_R('coalesce(v / n, 0)')} AS char_{n}gram_ttr, {_R('coalesce(h, 0)')} AS char_{n}gram_entropy, {_R('coalesce(n / v, 0)')} AS char_{n}gram_avg_freq FROM conversations LEFT JOIN e USING (conv_id, turn)"""
+WITH t AS (SELECT doc_id, lower({T.sql_tidy("coalesce(text, '')")}) AS t FROM documents), g AS (SELECT doc_id, t, unnest(CASE WHEN length(t) >= {n} THEN range(1, length(t) - {n - 2}) ELSE [] END) AS i FROM t),
+f AS (SELECT doc_id, substr(t, i, {n}) AS g, count(*)::DOUBLE AS f FROM g GROUP BY ALL), a AS (SELECT doc_id, sum(f) AS n, count(*)::DOUBLE AS v FROM f GROUP BY ALL),
+e AS (SELECT doc_id, any_value(n) AS n, any_value(v) AS v, -sum(f / n * log2(f / n)) AS h FROM f JOIN a USING (doc_id) GROUP BY ALL)
+SELECT doc_id, {_R('coalesce(v / n, 0)')} AS char_{n}gram_ttr, {_R('coalesce(h, 0)')} AS char_{n}gram_entropy, {_R('coalesce(n / v, 0)')} AS char_{n}gram_avg_freq FROM documents LEFT JOIN e USING (doc_id)"""
 
 
 def _ngrams(spark, d, n):
     names = [f"char_{n}gram_{x}" for x in ("ttr", "entropy", "avg_freq")]
-    return stylometry.char_ngram_features(_table(spark, d, "conversations"), n).select("conv_id", "turn", *[F.round(x, 6).alias(x) for x in names])
+    return stylometry.char_ngram_features(_docs(spark, d), n).select("doc_id", *[F.round(x, 6).alias(x) for x in names])
 
 
 @query(_ngram_sql(3))
@@ -467,6 +467,27 @@ def char_ngrams_4(spark, d):
     return _ngrams(spark, d, 4)
 
 
+def _features_sql(source: str) -> str:
+    """Common table expressions up to features: k and the 26 features, of source's k and text."""
+    grams = lambda n: f"""
+t{n} AS (SELECT k, t, unnest(CASE WHEN length(t) >= {n} THEN range(1, length(t) - {n - 2}) ELSE [] END) AS i FROM (SELECT k, lower({T.sql_tidy('text')}) AS t FROM src)), f{n} AS (SELECT k, substr(t, i, {n}) AS g, count(*)::DOUBLE AS f FROM t{n} GROUP BY ALL),
+a{n} AS (SELECT k, sum(f) AS n, count(*)::DOUBLE AS v FROM f{n} GROUP BY k), g{n} AS (SELECT k, any_value(v / n) AS char_{n}gram_ttr, -sum(f / n * log2(f / n)) AS char_{n}gram_entropy, any_value(n / v) AS char_{n}gram_avg_freq FROM f{n} JOIN a{n} USING (k) GROUP BY k)"""
+    found = [f"coalesce({f}, 0)::DOUBLE AS {f}" for f in stylometry.FEATURES]
+    per = lambda x, y: f"(CASE WHEN {y} > 0 THEN ({x}) / {y} ELSE 0 END)"
+    return f"""WITH src AS (SELECT k, coalesce(text, '') AS text FROM ({source})),
+w AS (SELECT k, text, regexp_extract_all(lower(text), '{_W}') AS ws, regexp_extract_all(lower(text), '{_K}') AS ts, regexp_extract_all(text, '{_S}') AS ss FROM src),
+basic AS (SELECT k, len(ws) AS word_count, len(ss) AS sentence_count, {per('len(ws)', 'len(ss)')} AS avg_sentence_length, {per('list_sum([length(x) FOR x IN ws])', 'len(ws)')} AS avg_word_length, {per(_hits('ws', stylometry.CONTRACTIONS), 'len(ws)')} AS contraction_ratio,
+ {per("len(regexp_extract_all(text, '!'))", 'len(ss)')} AS exclamation_ratio, {per("len(regexp_extract_all(text, '[?]'))", 'len(ss)')} AS question_ratio, {per(_hits('ws', stylometry.INFORMAL), 'len(ws)')} AS informal_ratio,
+ {per(_hits('ts', stylometry.FUNCTION_WORDS), 'len(ts)')} AS function_word_ratio, {per(_hits('ts', stylometry.PREPOSITIONS), 'len(ts)')} AS preposition_ratio, {per(_hits('ts', stylometry.CONJUNCTIONS), 'len(ts)')} AS conjunction_ratio,
+ {per('len(ts)', 'len(ss)')} AS avg_words_per_sentence, {per(f"len([x FOR x IN ss IF contains(x, ',') AND len({sql_words('x')}) > 15])", 'len(ss)')} AS complexity_ratio FROM w),
+u AS (SELECT k, unnest([x FOR x IN ws IF x NOT IN {C._sql_list(L.ENGLISH_STOPWORDS)}]) AS x FROM w), uf AS (SELECT k, x, count(*)::DOUBLE AS f FROM u GROUP BY ALL),
+ua AS (SELECT k, sum(f) AS n, count(*)::DOUBLE AS v, count(*) FILTER (f = 1)::DOUBLE AS one, count(*) FILTER (f = 2)::DOUBLE AS two, sum(f * f) AS sq, sum(f * (f - 1)) AS fall FROM uf GROUP BY k),
+lexical AS (SELECT k, v / n AS type_token_ratio, one / n AS hapax_legomena_ratio, two / n AS dis_legomena_ratio, 10000 * sq / (n * n) AS yule_k, CASE WHEN n > 1 THEN fall / (n * (n - 1)) ELSE 0 END AS simpson_d, pow(n, pow(v, -0.172)) AS brunet_w,
+ CASE WHEN one > 0 AND one < v THEN 100 * ln(n) / (1 - one / v) ELSE 0 END AS honore_statistic FROM ua),{grams(3)},{grams(4)},
+features AS (SELECT k, {', '.join(found)} FROM basic LEFT JOIN lexical USING (k) LEFT JOIN g3 USING (k) LEFT JOIN g4 USING (k))
+"""
+
+
 def _turn_pairs(spark, d):
     rows = _table(spark, d, "conversations")
     you = rows.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
@@ -488,21 +509,26 @@ def tfidf_cosine(spark, d):
     return stylometry.tfidf_cosine(_turn_pairs(spark, d), ["conv_id", "turn"], "said", "answer").select("conv_id", "turn", F.round("cosine", 6).alias("cosine"))
 
 
-@query()
+_SIDES = f"SELECT {{{{'c': conv_id, 't': turn, 's': side}}}} AS k, text FROM (SELECT conv_id, turn, unnest([1, -1]) AS side, unnest([said, answer]) AS text FROM ({_PAIRED}))".replace("{{", "{").replace("}}", "}")
+_DELTAS = _features_sql(_SIDES) + f", delta AS (SELECT k.c AS conv_id, k.t AS turn, {' + '.join(f'abs(sum(k.s * {f}))' for f in stylometry.FEATURES)} AS delta FROM features GROUP BY ALL)"
+
+
+@query(_DELTAS + "SELECT conv_id, turn, round(delta, 4) AS delta FROM delta")
 def burrows_delta(spark, d):
-    return stylometry.burrows_delta(_turn_pairs(spark, d), ["conv_id", "turn"], "said", "answer")
+    return stylometry.burrows_delta(_turn_pairs(spark, d), ["conv_id", "turn"], "said", "answer").withColumn("delta", F.round("delta", 4))
 
 
-@query()
+@query(_DELTAS + f", cos AS ({_COSINE}) SELECT 'reply' AS variant, round(avg(cosine), 4) AS cosine_mean, round(stddev_pop(cosine), 4) AS cosine_std, round(avg(delta), 3) AS delta_mean, round(stddev_pop(delta), 3) AS delta_std FROM cos JOIN delta USING (conv_id, turn)")
 def similarity_summary(spark, d):
     pairs = _turn_pairs(spark, d)
     both = stylometry.tfidf_cosine(pairs, ["conv_id", "turn"], "said", "answer").join(stylometry.burrows_delta(pairs, ["conv_id", "turn"], "said", "answer"), ["conv_id", "turn"])
-    return stylometry.similarity_summary(both.withColumn("variant", F.lit("reply")), "variant")
+    digits = {"cosine_mean": 4, "cosine_std": 4, "delta_mean": 3, "delta_std": 3}
+    return stylometry.similarity_summary(both.withColumn("variant", F.lit("reply")), "variant").withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
-@query()
+@query(_features_sql("SELECT doc_id AS k, text FROM documents") + f"SELECT k AS doc_id, {', '.join(f'round({f}, 5) AS {f}' for f in stylometry.FEATURES)} FROM features")
 def style_features(spark, d):
-    return stylometry.all_features(_table(spark, d, "conversations")).select("conv_id", "turn", *stylometry.FEATURES)
+    return stylometry.all_features(_docs(spark, d)).select("doc_id", *[F.round(f, 5).alias(f) for f in stylometry.FEATURES])
 
 
 @query()
@@ -588,7 +614,12 @@ def rating_totals(spark, d):
     return ratings.totals(_ratings(spark, d))
 
 
-@query()
+_SHARE = "avg((guess = 'owner')::INT) FILTER (key = '{}')"
+
+
+@query(views.RATINGS_SQL + f""", q AS (SELECT {_SHARE.format('LoRA')} AS l, {_SHARE.format('Base')} AS b, {_SHARE.format('Human')} AS h FROM r)
+SELECT printf('tuned model taken for the owner: %.1f%%', l * 100) || chr(10) || printf('base model taken for the owner: %.1f%%', b * 100) || chr(10) || printf('owner recognised: %.1f%%', h * 100) || chr(10)
+ || CASE WHEN l - b > 0.1 THEN 'strong' WHEN l - b > 0 THEN 'some' ELSE 'no' END || ' advantage of the tuned model' AS report FROM q""")
 def rating_report(spark, d):
     return ratings.report(_ratings(spark, d), OWNER)
 
