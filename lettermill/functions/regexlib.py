@@ -69,17 +69,24 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Matches nothing, and is looked for a word at a time.
+NEVER = "\uffff" * 8 + "(?!)"
+
+
 @dataclass(frozen=True)
 class Rule:
-    """pattern is replaced by put (groups as {1}); flags of i, m, s."""
+    """pattern is replaced by put (groups as {1}); flags of i, m, s. need: lower-case text that every match holds."""
 
     pattern: str
     put: str = ""
     flags: str = ""
+    need: str = ""
 
-    def column(self, text: Column) -> Column:
+    def column(self, text: Column, only: Column | None = None) -> Column:
+        """only: rows for which the rule can match; for others a pattern that is quickly done with stands in."""
         put = self.put.replace("\\", "\\\\").replace("$", "\\$").replace("{1}", "$1").replace("{2}", "$2")
-        return F.regexp_replace(text, F.lit(java(self.pattern, self.flags)), F.lit(put))
+        pattern = F.lit(java(self.pattern, self.flags))
+        return F.regexp_replace(text, pattern if only is None else F.when(only, pattern).otherwise(F.lit(NEVER)), F.lit(put))
 
     def sql(self, expr: str) -> str:
         put = self.put.replace("\\", "\\\\").replace("{1}", r"\1").replace("{2}", r"\2")
@@ -89,22 +96,46 @@ class Rule:
 
 @dataclass(frozen=True)
 class Chain:
-    """Rules in strict order. gate: patterns (case apart) of which one matches every text that a rule can match; other texts
-    skip all rules."""
+    """Rules in strict order. gate: lower-case texts, and gate_pattern: a pattern, of which every text that a rule can match
+    holds one; other texts skip all rules. Plain texts are looked for many times faster than a pattern of alternatives.
+
+    breaker: for rules that all end at the text's end, characters (a class's inside) that no match holds: what stands before
+    the last of them is left alone. whole: pattern of texts for which that isn't so; they are worked on as a whole."""
 
     rules: tuple[Rule, ...]
     gate: tuple[str, ...] = field(default=())
+    gate_pattern: str = ""
+    breaker: str = ""
+    whole: str = ""
 
     def column(self, text: Column) -> Column:
-        def all_rules(t: Column) -> Column:
+        def all_rules(t: Column, low: Column | None) -> Column:
+            # rules only take away, so what a rule needs is there from the start
             for r in self.rules:
-                t = r.column(t)
+                t = r.column(t, F.contains(low, F.lit(r.need)) if r.need and low is not None else None)
             return t
 
+        def at_end(t: Column, low: Column | None) -> Column:
+            if not self.breaker:
+                return all_rules(t, low)
+            head = F.regexp_extract(t, rf"(?s)\A(.*[{self.breaker}])", 1)
+            cut = let(head, lambda h: F.concat(h, all_rules(F.substring(t, F.length(h) + 1, F.length(t)), low)))
+            return F.when(t.rlike(self.whole), all_rules(t, low)).otherwise(cut) if self.whole else cut
+
         if not self.gate:
-            return all_rules(text)
-        some = "(?iu)" + "|".join(self.gate)
-        return let(text, lambda t: F.when(t.rlike(some), all_rules(t)).otherwise(t))
+            return let(text, lambda t: at_end(t, None)) if self.breaker else all_rules(text, None)
+
+        def gated(t: Column) -> Column:
+            def some(low: Column) -> Column:
+                found = t.rlike(self.gate_pattern) if self.gate_pattern else F.lit(False)
+                for g in self.gate:
+                    found = found | F.contains(low, F.lit(g))
+                return F.when(found, at_end(t, low)).otherwise(t)
+
+            # the long s folds to s as case does
+            return let(F.replace(F.lower(t), F.lit("ſ"), F.lit("s")), some)
+
+        return let(text, gated)
 
     def sql(self, expr: str) -> str:
         for r in self.rules:
@@ -117,7 +148,8 @@ TIDY = Chain((Rule(r"\s+", " "), Rule(r"^\s+|\s+$")))
 
 
 def tidy_text(text: Column) -> Column:
-    return TIDY.column(text)
+    """TIDY, by a pattern that leaves single spaces alone."""
+    return F.trim(F.regexp_replace(text, F.lit(f"[{SPACE_CLASS}&&[^ ]][{SPACE_CLASS}]*+| [{SPACE_CLASS}]++"), F.lit(" ")))
 
 
 def stripped(text: Column) -> Column:

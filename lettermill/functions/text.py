@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import rules
-from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, let, matches, sql_stripped, sql_text, stripped, translated
+from .regexlib import TIDY, WORD_CLASS, Chain, Rule, java, let, matches, sql_stripped, sql_text, stripped, tidy_text, translated
 
-tidy, sql_tidy = TIDY.column, TIDY.sql
+tidy, sql_tidy = tidy_text, TIDY.sql
 
 
 def clean_edited(text: Column) -> Column:
@@ -63,14 +63,11 @@ def sql_clean_chat_placeholders(expr: str) -> str:
 def clean_mail_tail(text: Column, aggressive_tail: bool = True) -> Column:
     """What mail programs leave at the end. aggressive_tail: also the last two or three words of a text that doesn't end
     in punctuation, as the pipeline this serves has always done."""
-    out = rules.MAIL_TAILS.column(text)
-    if aggressive_tail:
-        out = rules.LAST_WORDS.column(out)
-    return tidy(rules.MAIL_ENDS.column(out))
+    return tidy((rules.MAIL_END if aggressive_tail else rules.MAIL_END_MILD).column(text))
 
 
 def sql_clean_mail_tail(expr: str) -> str:
-    return sql_tidy(rules.MAIL_ENDS.sql(rules.LAST_WORDS.sql(rules.MAIL_TAILS.sql(expr))))
+    return sql_tidy(rules.MAIL_END.sql(expr))
 
 
 def html_to_text(markup: Column, full: bool = False) -> Column:
