@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.regexlib import stripped
+from ..sources.shared import stored
 from .ranking import hash_key, with_rank
 
 # Left-overs that a clean example doesn't hold, and the cue of standalone examples.
@@ -53,7 +54,9 @@ def rendered(chats: DataFrame) -> DataFrame:
 
 def weighted_mix(pairs: DataFrame, monos: DataFrame, pair_weight: int = 3, mono_weight: int = 1, limit: int | None = None, seed: int = 42) -> DataFrame:
     """Rows of both (id, messages, labels) in the given ratio, without replacement: each side gives its share of limit (by
-    default of all rows), or what it has. kind and a seeded order key are added. Only two counts come to the driver."""
+    default of all rows), or what it has. kind and a seeded order key are added. Both sides are stored first, as they are counted
+    and ranked; only two counts come to the driver."""
+    pairs, monos = (stored(x.select("id", "messages", "labels"), "mix") for x in (pairs, monos))
     have_p, have_m = pairs.count(), monos.count()
     total = limit if limit else have_p + have_m
     weights = pair_weight + mono_weight
@@ -61,7 +64,7 @@ def weighted_mix(pairs: DataFrame, monos: DataFrame, pair_weight: int = 3, mono_
     want_m = total - want_p if weights else max(0, total - want_p)
     out = None
     for kind, rows, n in (("pair", pairs, min(want_p, have_p)), ("mono", monos, min(want_m, have_m))):
-        ranked = with_rank(rows.select("id", "messages", "labels"), hash_key(F.col("id"), seed=seed), ["id", "labels"]).where(F.col("rank") <= n).drop("rank", "total")
+        ranked = with_rank(rows, hash_key(F.col("id"), seed=seed), ["id", "labels"]).where(F.col("rank") <= n).drop("rank", "total")
         ranked = ranked.withColumn("kind", F.lit(kind))
         out = ranked if out is None else out.unionByName(ranked)
     return out.withColumn("order_key", hash_key(F.col("kind"), F.col("id"), seed=seed))

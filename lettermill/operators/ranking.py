@@ -30,8 +30,9 @@ def with_rank(df: DataFrame, key: Column, ties: list[str], group: list[str] = ()
 
 
 def keep_first(df: DataFrame, key: list[Column], order: list[str]) -> DataFrame:
-    """The first row of each key. A sum with partial results a task, so a key with most of the rows costs one row a task."""
-    keys = [k.alias(f"__k{i}") for i, k in enumerate(key)]
+    """The first row of each key. A sum with partial results a task, so a key with most of the rows costs one row a task; it
+    sorts by a digest, however long the keys are. Equal in order: any one."""
+    plain = F.concat_ws("\x1f", *[F.coalesce(k.cast("string"), F.lit("\x00")) for k in key])
     row = F.struct(*[F.col(c) for c in df.columns])
-    first = df.select(*keys, F.struct(*order).alias("__order"), row.alias("__row")).groupBy(*[f"__k{i}" for i in range(len(key))]).agg(F.min_by("__row", "__order").alias("__row"))
+    first = df.select(F.sha2(plain, 256).alias("__key"), F.struct(*order).alias("__order"), row.alias("__row")).groupBy("__key").agg(F.min_by("__row", "__order").alias("__row"))
     return first.select("__row.*")

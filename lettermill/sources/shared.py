@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,3 +28,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df as Parquet in the shared folder, read back: what several plans start from is computed once."""
+    path = scratch(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
