@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import scratch
+from ..sources.shared import stored
 
 #: A word is a longest run of characters other than the space and the five ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,9 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes df as Parquet into the shared folder and reads it back. Rows survive the
     loss of any executor, and later plans start from a plain scan. The folder goes when the driver ends."""
-    path = scratch(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, label)
 
 
 @contextmanager

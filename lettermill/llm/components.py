@@ -11,7 +11,8 @@ from .common import written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is joined to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written, so that the join has exchanges of its own and the edges of a node with very many can be split
+    low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "stars")
     return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 

@@ -66,12 +66,22 @@ def _placed(classes: DataFrame, cosine: float, kind: str) -> DataFrame:
     return classes.mapInPandas(place, "node long, block int, key long, home boolean")
 
 
+def _alike(tiles):
+    """Tiles apart by label and length: a cell's key is a digest, and what it brings together needn't be alike."""
+    for block, near, far in tiles:
+        kinds = {(r["name"], len(r["raw"])) for r in (*near, *far)}
+        for kind in kinds:
+            own = [[r for r in side if (r["name"], len(r["raw"])) == kind] for side in (near, far)] if len(kinds) > 1 else [near, far]
+            if not len(far) and len(own[0]) > 1 or len(own[0]) and len(own[1]):
+                yield block, *own
+
+
 def _compared(tiles: DataFrame, cosine: float, kind: str) -> DataFrame:
     """node, links (vectors linked in this tile), other (the smallest node it reaches in this tile)."""
 
     def compare(frames):
         for frame in frames:
-            for block, near, far in zip(frame["block"], frame["near"], frame["far"], strict=True):
+            for block, near, far in _alike(zip(frame["block"], frame["near"], frame["far"], strict=True)):
                 rows = [*near, *far]
                 node = np.array([r["node"] for r in rows], np.int64)
                 home, many = np.array([r["home"] for r in rows]), np.array([r["vectors"] for r in rows], np.int64)
@@ -114,16 +124,16 @@ def _compared(tiles: DataFrame, cosine: float, kind: str) -> DataFrame:
 def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", label_col: str | None = "label", cosine: float = MIN_COSINE) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
-    Vectors of equal label and length are linked if their cosine, in double precision, is at least cosine. Null, empty and
+    Labels may be of any type that has a text; equal ones have equal texts. Vectors of equal label and length are linked if their cosine, in double precision, is at least cosine. Null, empty and
     zero vectors, those with a null or non-finite component and those with a null label link with nothing: no links, their
     own id as component, kept. Equal vectors are one class and are linked with each other; each row is a vector, ids may
     repeat. kept: the id is the component's smallest. Empty tables give empty results; other columns are ignored.
     """
     spark = vectors.sparkSession
-    label = F.col(label_col) if label_col else F.lit(0)
+    label = F.col(label_col).cast("string") if label_col else F.lit("")
     # components move in the width they came in; all arithmetic is in double precision
     kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), label.cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), F.col(vector_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.col("v").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0)
     rows = written(rows.withColumn("v", F.when(F.coalesce(good, F.lit(False)), F.transform("v", lambda x: x + 0.0))), "vectors")
@@ -134,13 +144,13 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
             yield frame.assign(v=[np.asarray(x, kind).tobytes() for x in frame["v"]])
 
     classes = written(classes, "vector-classes")
-    raw = written(classes.select("node", "label", "vectors", "v").mapInPandas(packed_bytes, "node long, label long, vectors long, v binary").withColumnRenamed("v", "raw"), "vector-bytes")
+    raw = written(classes.select("node", F.xxhash64("label").alias("label"), F.col("label").alias("name"), "vectors", "v").mapInPandas(packed_bytes, "node long, label long, name string, vectors long, v binary").withColumnRenamed("v", "raw"), "vector-bytes")
     placed = written(_placed(raw.select("node", "label", "raw"), cosine, kind), "vector-cells")
     cells = placed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("home").cast("int")).alias("homes")).where("rows > 1 and homes = 1")
     tiled = placed.join(cells.select("key", "rows"), "key").withColumn("tiles", F.ceil(F.col("rows") / TILE).cast("int"))
     tiled = tiled.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiled = tiled.join(raw.select("node", "vectors", "raw"), "node")
-    entry = F.struct("node", "home", "vectors", "raw")
+    tiled = tiled.join(raw.select("node", "vectors", "name", "raw"), "node")
+    entry = F.struct("node", "home", "vectors", "name", "raw")
     tiled = tiled.select("key", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), entry).alias("n"), F.when(F.col("own") > F.col("other"), entry).alias("f"))
     tiles = tiled.groupBy("key", "block", "i", "j").agg(F.collect_list("n").alias("near"), F.collect_list("f").alias("far")).where((F.size("near") + F.size("far") > 1) & ((F.col("i") == F.col("j")) | (F.size("near") > 0) & (F.size("far") > 0)))
     with arrow_rows(spark, 16):  # a row is a tile
@@ -150,7 +160,8 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
     known = classes.join(sums, "node", "left").join(parts, "node", "left")
     known = known.select(F.col("label").alias("l"), F.col("v").alias("w"), (F.coalesce("links", F.lit(0)) + F.col("vectors") - 1).alias("links"), F.coalesce("component", "node").alias("component"))
     joined = rows.join(known, (F.col("label") == F.col("l")) & (F.col("v") == F.col("w")), "left").select("id", "links", "component")
-    lowest = joined.where("component is not null").groupBy("component").agg(F.min("id").alias("low"))
+    # written, so that a component with most of the rows can be split in the join
+    lowest = written(joined.where("component is not null").groupBy("component").agg(F.min("id").alias("low")), "vector-lowest")
     out = joined.join(lowest, "component", "left")
     own = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("low"))
     return out.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))

@@ -103,7 +103,9 @@ class Filters:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Filters:
     """Filters from the rows with a language and a text. The counting is distributed; what comes to the driver has at
-    most 1 / MIN_SHARE rows a language."""
+    most 1 / MIN_SHARE rows a language. Labels are names of languages: the driver and the filter hold a row and a bit for each,
+    so a column of free text is no label. Ids may be null or repeat: they only decide which rows are drawn. Without a labelled
+    row nothing is learned."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     docs = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(docs)

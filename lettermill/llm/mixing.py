@@ -34,7 +34,8 @@ def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """source, source_size, source_rows, target. Targets share the total by weight; none is above max_epochs times its
     source's size, and the excess is shared anew by weight: a water level that the capped sources (smallest cap for
-    their weight first) leave to the rest. One row a source is all this sorts."""
+    their weight first) leave to the rest. One row a source is all this sorts. A null source is a source, the last; sources
+    of size 0 have target 0; without rows there are no targets."""
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     everything = Window.partitionBy(F.lit(0))

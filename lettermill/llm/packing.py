@@ -50,7 +50,8 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
 
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, sequence: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """Pieces of every document: id, doc_row, start, length, ids_crc32, doc_tokens and, if asked for, ids. A null text is
-    an empty one; every document ends with END_ID, so none is without tokens."""
+    an empty one; every document ends with END_ID, so none is without tokens. A null id stays; rows that repeat an id are told
+    apart by doc_row; an empty table has no pieces; other columns are ignored."""
     schema = "id string, doc_row long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def cut(frames):
@@ -76,13 +77,14 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
     Every id of every document is in exactly one piece; pieces of one sequence lie without gaps from offset 0. Empty and
     null texts give one piece with END_ID alone; rows that repeat an id are documents of their own; an empty table gives
-    an empty result. Groups depend on ids alone, so reruns agree.
+    an empty result. Groups depend on ids, texts and rows' places in their files, so reruns over the same files agree and
+    repeated rows are spread.
     """
     pieces = written(token_pieces(docs, id_col, text_col, path or vocabulary(VOCABULARY), sequence, with_ids), "pack-pieces")
     loose = pieces.where(F.col("length") < sequence)
     groups = max(1, -(-loose.count() // GROUP_PIECES))
     full = pieces.where(F.col("length") == sequence).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    dealt = loose.withColumn("group", F.pmod(F.xxhash64("id", "doc_tokens", "ids_crc32", F.lit("pack")), F.lit(groups)))
+    dealt = loose.withColumn("group", F.pmod(F.xxhash64("id", "doc_tokens", "ids_crc32", "doc_row", F.lit("pack")), F.lit(groups)))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)

@@ -191,6 +191,14 @@ def test_embeddings(spark):
     assert got == {i: (len(links.get(i, ())), low[i], low[i] == i) for i, _, _ in rows} and sum(map(len, links.values())) > 100
 
 
+def test_embeddings_compare_labels_as_they_are(spark):
+    rows = [(1, [1.0, 0.0], "1.2"), (2, [2.0, 0.0], "1.7"), (3, [3.0, 0.0], "1.2"), (4, [1.0, 0.0], "x"), (5, [1.0, 0.01], "x"), (None, [1.0, 0.0], "x"), (4, [1.0, 0.0], "x")]
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embeddings.linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()), key=repr)
+    assert got == sorted([(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False), (4, 3, 4, True), (4, 3, 4, True), (5, 3, 4, False), (None, 3, 4, False)], key=repr)
+    tiles = [(0, [{"name": "a", "raw": b"1234", "n": 1}, {"name": "b", "raw": b"1234", "n": 2}], [{"name": "a", "raw": b"1234", "n": 3}, {"name": "a", "raw": b"12345678", "n": 4}])]
+    assert [[[r["n"] for r in side] for side in t[1:]] for t in embeddings._alike(iter(tiles))] == [[[1], [3]]]
+
+
 def test_chat(spark):
     said = [(1, 0, "user", "hi ### x"), (1, 1, "assistant", "\\### Assistant: </turn> ok"), (1, 2, "assistant", None), (1, 3, "assistant", " é😀\n"), (2, 5, None, "a"), (2, 5, "a:b", ""), (3, None, "assistant", "y" * 30_000)]
     rows = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
