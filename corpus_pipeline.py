@@ -1,4 +1,7 @@
-"""From documents to packed sequences: each stage works on what the one before it kept."""
+"""From documents to packed sequences: each stage works on what the one before it kept.
+
+Each stage takes nulls in any column, empty and very long texts, rows that repeat an id, an empty table (an empty result) and
+columns of any other name, which it passes through; what it decides on them stands in its docstring."""
 
 from __future__ import annotations
 
@@ -12,28 +15,34 @@ LEAST_SHARE = 0.25
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts in no language that the labelled rows teach."""
+    """Drops texts without a letter (null and empty ones too) and texts in no language that the labelled rows teach. A null
+    label teaches nothing and doesn't matter for its own row; without labelled rows every text goes. A tie between languages
+    keeps the text."""
     known = language.identify(docs, language.fit(docs), min_share=LEAST_SHARE)
     return known.where(f"lang_pred != '{language.UNDECIDED}'").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest doc_id stays."""
+    """Of equal texts (white space apart; null counts as empty) the smallest doc_id stays; all rows of that id and text stay, and
+    a null id only in a group of null ids."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 over five-word shingles the smallest doc_id stays."""
+    """Of documents linked by a similarity of 0.8 over five-word shingles the smallest doc_id stays; texts without words link with
+    nothing and stay, a null id comes after all others."""
     return minhash.drop_near_copies(docs, threshold=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source's budget of words, in random order: some documents go, some repeat, one a source is cut."""
+    """Each source's budget of words, in random order: some documents go, some repeat, one a source is cut. A null source is a
+    source of its own; texts without words take nothing and go."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token of every document that is left, in sequences of at most 2048."""
+    """Every token of every document that is left, in sequences of at most 2048; a null or empty text is its end token, a
+    repeated row is a document of its own."""
     return packing.packed(docs)
 
 
