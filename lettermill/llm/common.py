@@ -47,6 +47,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return stored(df, label)
 
 
+def forgotten(df: DataFrame) -> None:
+    """Deletes what written() wrote, if nothing that is still to run reads it."""
+    files = df.inputFiles()
+    if files:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, n: int):
     """Batches of at most n rows to Python for what is written inside; long texts need short batches."""

@@ -2,16 +2,21 @@
 
 A window of 20 words is an edge of the graph. Each window is filed under its minimizer, the least hash of its k-mers;
 consecutive windows with one minimizer are a segment, and equal windows always share a minimizer. A minimizer all of whose
-occurrences lie in equal segments is a nonbranching path: the path is one row, and a join gives every occurrence the
-coordinates of the first. Only where paths branch are segments opened into edges. Lengths, a second fingerprint and the
-source coordinates verify every repeated path, and spans that touch are joined within their document.
+occurrences lie in equal segments is a nonbranching stretch: one row. Stretches are compacted into paths through joins: where
+every occurrence of one is followed by the same next one, and every occurrence of that is preceded by it (out-degree and
+in-degree 1), the two are joined, and pointers that double their reach give each stretch its path's head and its distance
+from it. Source coordinates verify a path: the first occurrence of each of its stretches lies at that distance from its
+head's. Only where paths branch, or don't agree with their coordinates, are segments opened into edges. Two independent
+64-bit hashes of each word stand behind every comparison: lengths and both fingerprints of a segment have to agree.
 
 Texts stay where they lie: minimizers are counted first, and bit filters of fixed size let the later passes send out only
-what is repeated. Copies meet in sums, so a passage in a third of all documents is one row a task.
+what is repeated. Copies meet in sums, so a passage in a third of all documents is one row a task; its occurrences meet its
+coordinates in a join that the engine splits where they are many.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -19,11 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, bit_filter, passes, table, written
+from .common import arrow_rows, bit_filter, forgotten, passes, table, written
 from .tokens import batches, hashed_words, mixed, powers
 
 WINDOW = 20
 KMER = 8
+#: More than a text has words.
+PLACES = 1 << 40
 #: Rows sent to Python at once.
 BATCH = 1000
 _SEEDS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -71,6 +78,26 @@ def _each(frames, columns, verify: bool = True):
             yield Text(texts[a:b], verify), *[frame[c].to_numpy()[a:b] for c in columns]
 
 
+def paths(nodes: DataFrame) -> DataFrame:
+    """nodes: m, windows, after and before (of all its occurrences, 0 if they differ or there is none). Result: m, head,
+    distance (windows from the head's start), for every node; a node that stands in no path, or in a circle, is its own head."""
+    a = nodes.select(F.col("m").alias("up"), F.col("after").alias("next"), "windows")
+    b = nodes.select("m", F.col("before").alias("last"))
+    joined = b.join(a, (F.col("last") == F.col("up")) & (F.col("m") == F.col("next")) & (F.col("m") != F.col("up"))).select("m", "up", "windows")
+    at = written(nodes.select("m").join(joined, "m", "left").select("m", F.coalesce("up", "m").alias("head"), F.coalesce("windows", F.lit(0)).cast("long").alias("distance")), "graph-pointers")
+    total = at.count()
+    for _ in range(max(1, total).bit_length() + 1):
+        far = at.select(F.col("m").alias("head"), F.col("head").alias("further"), F.col("distance").alias("more"))
+        moved = written(at.join(far, "head").select("m", F.col("further").alias("head"), (F.col("distance") + F.col("more")).alias("distance"), (F.col("further") != F.col("head")).alias("moved")), "graph-pointers")
+        forgotten(at)
+        at = moved.drop("moved")
+        if moved.where("moved").limit(1).count() == 0:
+            return at
+    # what still moves goes round in a circle
+    done = at.join(at.where("m = head").select("head"), "head", "left_semi")
+    return done.unionByName(at.join(done, "m", "left_anti").select(F.col("m").alias("head"), "m", F.lit(0).cast("long").alias("distance")))
+
+
 def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """rows: row (digest of id and text), id (not null), text. Result: row, start, size: runs of words, not merged, of every
     window whose words also start earlier (smaller id, or the same id and an earlier start)."""
@@ -88,23 +115,37 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         for text, ids, keys in _each(frames, ("id", "row")):
             start, size, m = text.segments(window)
             own = passes(bits.value, m)
-            start, size, m = start[own], size[own], m[own]
             doc = text.doc[start]
+            # the minimizers of the segments after and before, 0 where there is none or it isn't repeated
+            near = np.where(own, m, np.uint64(0))
+            after, before = np.zeros(len(m), np.uint64), np.zeros(len(m), np.uint64)
+            if len(m):
+                together = doc[1:] == doc[:-1]
+                after[:-1], before[1:] = np.where(together, near[1:], 0), np.where(together, near[:-1], 0)
+            start, size, m, after, before, doc = start[own], size[own], m[own], after[own], before[own], doc[own]
             words = size + window - 1
-            yield pd.DataFrame({"m": m.view(np.int64), "s": text.fingerprint(0, start, words).view(np.int64), "v": text.fingerprint(1, start, words).view(np.int64), "id": ids[doc], "row": keys[doc], "start": start - text.starts[doc], "size": words})
-
-    segments = written(rows.select("text", "id", "row").mapInPandas(send, "m long, s long, v long, id long, row long, start long, size long"), "graph-segments")
-    one_way = (F.min("s") == F.max("s")) & (F.min("v") == F.max("v")) & (F.min("size") == F.max("size"))
-    nodes = segments.groupBy("m").agg(F.count(F.lit(1)).alias("n"), one_way.alias("path"), F.min("id").alias("first_id")).where("n > 1")
-    nodes = written(nodes.select("m", "path", "first_id"), "graph-nodes")
-    # the earliest start within the first document; few rows, as only the first document's count
-    paths = nodes.where("path").select("m", "first_id")
-    along = segments.join(paths, "m")
-    first = written(along.where("id = first_id").groupBy("m").agg(F.min("id").alias("first_id"), F.min("start").alias("first_start")), "graph-paths")
+            yield pd.DataFrame({
+                "m": m.view(np.int64), "after": after.view(np.int64), "before": before.view(np.int64), "s": text.fingerprint(0, start, words).view(np.int64), "v": text.fingerprint(1, start, words).view(np.int64),
+                "id": ids[doc], "row": keys[doc], "start": start - text.starts[doc], "size": words,
+            })
+
+    segments = written(rows.select("text", "id", "row").mapInPandas(send, "m long, after long, before long, s long, v long, id long, row long, start long, size long"), "graph-segments")
+    one = lambda *names: functools.reduce(lambda x, y: x & y, [F.min(n) == F.max(n) for n in names])
+    # (id, start) as one number, which sums keep in place: the least is the first occurrence
+    place = F.col("id").cast("decimal(38,0)") * F.lit(PLACES).cast("decimal(38,0)") + F.col("start")
+    nodes = segments.groupBy("m").agg(
+        F.count(F.lit(1)).alias("n"), one("s", "v", "size").alias("path"), F.min("id").alias("first_id"), F.min(place).alias("place"), (F.min("size") - (window - 1)).alias("windows"),
+        F.when(one("after"), F.min("after")).otherwise(0).alias("after"), F.when(one("before"), F.min("before")).otherwise(0).alias("before"),
+    ).where("n > 1")
+    nodes = written(nodes.select("m", "path", "first_id", (F.col("place") - F.col("first_id").cast("decimal(38,0)") * F.lit(PLACES).cast("decimal(38,0)")).cast("long").alias("first_start"), "windows", "after", "before"), "graph-nodes")
+    heads = paths(nodes.where("path"))
+    from_head = nodes.select(F.col("m").alias("head"), F.col("first_id").alias("head_id"), F.col("first_start").alias("head_start"))
+    agrees = (F.col("first_id") == F.col("head_id")) & (F.col("first_start") == F.col("head_start") + F.col("distance"))
+    first = written(nodes.where("path").join(heads, "m").join(from_head, "head").where(agrees).select("m", "first_id", "first_start"), "graph-paths")
     later = (F.col("id") > F.col("first_id")) | (F.col("start") > F.col("first_start"))
     spans = segments.join(first, "m").where(later).select("row", "start", "size")
 
-    forks = spark.sparkContext.broadcast(bit_filter(nodes.where("not path").select("m"), "m"))
+    forks = spark.sparkContext.broadcast(bit_filter(nodes.join(first, "m", "left_anti").select("m"), "m"))
 
     def edges(frames):
         for text, ids, keys in _each(frames, ("id", "row")):

@@ -152,6 +152,19 @@ def test_substrings(spark, corpus):
     assert got == want and sum(v[1] for v in want.values()) > 500
 
 
+def test_substring_paths(spark):
+    """A chain of 40, a fork into it, a circle of 3, one by itself: heads and distances."""
+    chain = [(i, 1 + i % 3, i + 1 if i < 40 else 0, i - 1) for i in range(1, 41)]
+    rows = [(1, 2, 2, 0), *chain[1:], (50, 7, 20, 0), (60, 1, 61, 62), (61, 1, 62, 60), (62, 1, 60, 61), (70, 5, 0, 0)]
+    got = {r["m"]: (r["head"], r["distance"]) for r in substrings.paths(spark.createDataFrame(rows, "m long, windows long, after long, before long")).collect()}
+    want, at = {}, 0
+    for i, windows, *_ in [(1, 2), *[r[:2] for r in chain[1:]]]:
+        want[i] = (1, at)
+        at += windows
+    assert {k: v for k, v in got.items() if k <= 40} == want
+    assert got[50] == (50, 0) and got[70] == (70, 0) and len(got) == len(rows)
+
+
 @pytest.mark.parametrize("threshold", [80, 85])
 def test_minhash(spark, corpus, threshold):
     sets = {}
