@@ -8,10 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicons as L
-from .regexlib import WORD_CLASS, Rule, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_text, sql_words, stripped, words
+from .regexlib import SPACE_CLASS, WORD_CLASS, Rule, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_text, sql_words, stripped, words
 from .text import URL
 
-_GROUP_WORDS = tuple(rf"\b(?:{g.replace(' ', '|')})\b" for g in L.ENGLISH_GROUPS)
+_GROUP_WORDS = tuple(rf"\b(?:{'|'.join(g)})\b" for g in L.ENGLISH_GROUPS)
 _VOWELS = tuple(rf"\b[a-z]*[aeiou]{{{n}}}[a-z]*\b" for n in (6, 7))
 
 
@@ -32,9 +32,12 @@ def language_bucket(text: Column, english_words: Sequence[str] = tuple(L.ENGLISH
     def decided(plain: Column, low: Column, own: Column) -> Column:
         among = lambda xs: F.size(F.filter(own, lambda w: w.isin(*xs)))
         open_ = lambda w: ~w.isin(*L.ENGLISH_EXCEPTIONS)
-        clustered = F.size(F.filter(own, lambda w: open_(w) & w.rlike("|".join(L.GEORGIAN_CLUSTERS))))
-        ended = F.size(F.filter(own, lambda w: open_(w) & ~w.isin("it") & w.rlike(rf"(?:{'|'.join(L.GEORGIAN_ENDINGS)})\z")))
-        clear = F.exists(own, lambda w: F.regexp_replace(w, f"[^{WORD_CLASS}]", "").isin(*L.CLEARLY_GEORGIAN))
+        # one pass over the text finds the words in question, instead of a pattern a word
+        held, gap = f"[^{SPACE_CLASS}]", f"(?<![^{SPACE_CLASS}])"
+        whole = lambda p: F.regexp_extract_all(low, F.lit(f"({gap}{p})"), F.lit(1))
+        clustered = F.size(F.filter(whole(f"{held}*?(?:{'|'.join(L.GEORGIAN_CLUSTERS)}){held}*+"), open_))
+        ended = F.size(F.filter(whole(f"{held}*(?:{'|'.join(L.GEORGIAN_ENDINGS)})(?!{held})"), lambda w: open_(w) & ~w.isin("it")))
+        clear = F.arrays_overlap(words(F.regexp_replace(low, f"[^{WORD_CLASS}{SPACE_CLASS}]", "")), F.array(*[F.lit(w) for w in L.CLEARLY_GEORGIAN]))
         hits, vowels = _sum(F.regexp_count(low, F.lit(p)) for p in _GROUP_WORDS), _sum(F.regexp_count(low, F.lit(p)) for p in _VOWELS)
         n = F.size(own)
 

@@ -45,6 +45,7 @@ ALL_EDITS = Chain(BRACKETED_EDITS.rules + tuple(Rule(rf"\s*{p}\s*", " ", _I) for
 
 _FAREWELLS = ("best,", "thanks,", "thank you,", "regards,", "sincerely,", "cheers,", "yours,", "care,", "wishes,", "consideration,", "time,", "help,", "everything,", "attention,")
 _line = lambda p, need: Rule(rf"^\s*{p}\s*$", "", "mi", need)
+# The order of quote lines, closings and signature lines.
 QUOTES = Chain(
     tuple(_line(*p) for p in QUOTE_LINES)
     + tuple(_line(p + ",", f"{p.lower()},") for p in BARE_CLOSINGS)
@@ -54,11 +55,13 @@ QUOTES = Chain(
 )
 MARKS = Chain(tuple(Rule(p, "", _I) for p in TECH_MARKS), ("<x-apple", "<mailto:", "[email]", "[link]", "[phone]"))
 ENTITY_RULES = Chain(tuple(Rule(a, b) for a, b in ENTITIES), ("&",))
+# Quote marks and run-together sentences within lines.
 INLINE = Chain((Rule(r"^\s*>\s*", "", "m", ">"), Rule(r"On .+? wrote:", "", _I, "wrote:"), Rule(r"([,\.!?])([A-Za-z])", "{1} {2}")))
 _end = lambda p, flags="", need="": Rule(rf"\s*{p}\s*\z", "", flags, need)
 #: Characters that neither signatures (but for Georgian ones and a university's) nor mail tails (but for those in angle
 #: brackets and one advertisement) hold.
 _NOT_SIGNED, _NOT_TAIL = r".;:!?\"'()*%$&|=\[\]{}~^`", r".,;!?\"'()*%$&|=\[\]{}~^`"
+# Signatures at a text's end, in order.
 SIGNATURES = Chain(
     (Rule(rf"([A-Z][a-z]+ [A-Z][a-z]+ - [a-z]+\d+ {PROPER_COLLEGE})"), _end(r"--\s*[ა-ჰ]+\s*[ა-ჰ]*"), _end(r"--\s*[A-Za-z]+\s*[A-Za-z]*"), _end(r"[ა-ჰ]+\.[ა-ჰ]+"))
     + tuple(_end(rf"{p},\s*[A-Za-z]+", _I, f"{p.lower()},") for p in CLOSINGS)
@@ -111,6 +114,7 @@ MAIL_TAILS = (
     _end(r"[A-Za-z]+\s+[A-Za-z]+\s*-"),
 )
 _TAIL_WHOLE = "(?iu)[<>]|avast"
+# The last words of a mail that doesn't end in punctuation, and what goes after them.
 LAST_WORDS = Rule(r"\s*[A-Za-z]+\s+[A-Za-z]+\s*[A-Za-z]*\s*\z")
 _ENDS = (_end(r"\d{4}/\d{1,2}/\d{1,2}\s*[A-Za-z\s]*"), _end(r":\d{1,2}"))
 #: All that is done at a mail's end, with and without its last words.
