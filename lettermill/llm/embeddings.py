@@ -21,7 +21,8 @@ from .tokens import mixed
 
 MIN_COSINE = 0.93
 BLOCK_DIMS = 16
-TILE = 1024
+#: Rows of a tile on average, and those of them compared at once.
+TILE, STRIP = 4096, 512
 #: Half of the cells around a cell; the other half sends to it.
 AROUND = ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))
 _rotations: dict = {}
@@ -76,8 +77,22 @@ def _alike(tiles):
                 yield block, *own
 
 
+def _joined(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Roots (places, the least of each set) after the sets of x and y are made one, pair by pair; parent: roots so far."""
+    while True:
+        x, y = parent[x], parent[y]
+        apart = x != y
+        if not apart.any():
+            return parent
+        x, y = x[apart], y[apart]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+
+
 def _compared(tiles: DataFrame, cosine: float, kind: str) -> DataFrame:
-    """node, links (vectors linked in this tile), other (the smallest node it reaches in this tile)."""
+    """node, links (vectors linked in this tile), other (the smallest node it reaches in this tile). A tile's rows are compared in
+    strips, so memory is a strip's."""
 
     def compare(frames):
         for frame in frames:
@@ -91,32 +106,34 @@ def _compared(tiles: DataFrame, cosine: float, kind: str) -> DataFrame:
                 at, budget = blocks[block]
                 part = rotated[:, at]
                 norm = np.einsum("ij,ij->i", part, part)
-                left, right = (np.arange(len(near)), np.arange(len(near), len(rows))) if len(far) else (np.arange(len(rows)),) * 2
-                close = norm[left, None] + norm[right] - 2 * part[left] @ part[right].T <= budget + 1e-9
-                close &= home[left, None] | home[right]
-                if not len(far):
-                    close = np.triu(close, 1)
-                linked = np.zeros((len(rows), len(rows)), bool)
-                i, j = np.nonzero(close)
-                i, j = left[i], right[j]
-                for a in range(0, len(i), 65536):
-                    x, y = i[a : a + 65536], j[a : a + 65536]
-                    swap = node[x] > node[y]  # the same order of operations for a pair wherever it is met
-                    x, y = np.where(swap, y, x), np.where(swap, x, y)
-                    good = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
-                    x, y = x[good], y[good]
-                    gap = rotated[x] - rotated[y]
-                    found = [np.einsum("ij,ij->i", gap[:, s], gap[:, s]) <= most for s, most in blocks[: block + 1]]
-                    first = found[block] & ~np.any(found[:block], axis=0) if block else found[0]
-                    linked[x[first], y[first]] = linked[y[first], x[first]] = True
-                if not linked.any():
-                    continue
-                low, before = node.copy(), None
-                while before is None or (low != before).any():
-                    before = low
-                    low = np.minimum(low, np.where(linked, low, np.iinfo(np.int64).max).min(axis=1))
-                own = linked.any(axis=1)
-                yield pd.DataFrame({"node": node[own], "links": (linked @ many)[own], "other": low[own]})
+                right = np.arange(len(near) if len(far) else 0, len(rows))
+                links, parent = np.zeros(len(rows), np.int64), np.arange(len(rows))
+                for a in range(0, len(near), STRIP):
+                    left = np.arange(a, min(a + STRIP, len(near)))
+                    own = right if len(far) else right[a:]
+                    close = norm[left, None] + norm[own] - 2 * part[left] @ part[own].T <= budget + 1e-9
+                    close &= home[left, None] | home[own]
+                    i, j = np.nonzero(close)
+                    i, j = left[i], own[j]
+                    if not len(far):
+                        i, j = i[i < j], j[i < j]
+                    for k in range(0, len(i), 65536):
+                        x, y = i[k : k + 65536], j[k : k + 65536]
+                        swap = node[x] > node[y]  # the same order of operations for a pair wherever it is met
+                        x, y = np.where(swap, y, x), np.where(swap, x, y)
+                        good = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+                        x, y = x[good], y[good]
+                        gap = rotated[x] - rotated[y]
+                        found = [np.einsum("ij,ij->i", gap[:, s], gap[:, s]) <= most for s, most in blocks[: block + 1]]
+                        first = found[block] & ~np.any(found[:block], axis=0) if block else found[0]
+                        x, y = x[first], y[first]
+                        links += np.bincount(x, many[y], len(rows)).astype(np.int64) + np.bincount(y, many[x], len(rows)).astype(np.int64)
+                        parent = _joined(parent, x, y)
+                low = np.full(len(rows), np.iinfo(np.int64).max)
+                np.minimum.at(low, parent, node)
+                own = links > 0
+                if own.any():
+                    yield pd.DataFrame({"node": node[own], "links": links[own], "other": low[parent[own]]})
 
     return tiles.mapInPandas(compare, "node long, links long, other long")
 
@@ -153,7 +170,7 @@ def linked_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
     entry = F.struct("node", "home", "vectors", "name", "raw")
     tiled = tiled.select("key", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), entry).alias("n"), F.when(F.col("own") > F.col("other"), entry).alias("f"))
     tiles = tiled.groupBy("key", "block", "i", "j").agg(F.collect_list("n").alias("near"), F.collect_list("f").alias("far")).where((F.size("near") + F.size("far") > 1) & ((F.col("i") == F.col("j")) | (F.size("near") > 0) & (F.size("far") > 0)))
-    with arrow_rows(spark, 16):  # a row is a tile
+    with arrow_rows(spark, 4):  # a row is a tile
         found = written(_compared(tiles.select("block", "near", "far"), cosine, kind), "vector-links")
     parts = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -294,6 +294,34 @@ def test_language(spark):
     assert {x["lang_pred"] for x in none.collect()} == {"und"}
 
 
+def test_language_against_plain_python(spark):
+    """Counts, false-positive correction and ties against sets of n-grams, one text after another."""
+    from collections import Counter
+
+    r = random.Random(8)
+    parts = {"aa": ["bla", "kor", "tum", "esh", "ane"], "bb": ["ñiva", "zuol", "pre", "éch", "ane"], "cc": ["xyx", "wuw", "tum", "ane"]}
+    rows = [(i, " ".join(r.choice(parts[k]) + r.choice(parts[k]) for _ in range(r.randint(1, 30))) + r.choice(["", " 12", "!\n", "  É"]), k) for i in range(150) for k in [("aa", "bb", "cc")[i % 3]]]
+    rows += [(200, "Ane  ane-ANE", None), (201, "q", None), (202, "ane", None), (203, "", "aa"), (204, None, "bb"), (205, "x" * 70_000, None), (None, "tum tum", None), (5, rows[5][1], "cc")]
+
+    def plain(text):
+        marked = "".join(c.lower()[0] if c.isalpha() else " " for c in f" {text or ''} ")
+        while "  " in marked:
+            marked = marked.replace("  ", " ")
+        return [marked[i : i + 3] for i in range(len(marked) - 2)]
+
+    counts = {k: Counter(g for _, t, lang in rows if lang == k and t is not None for g in plain(t)) for k in parts}
+    members = {k: {g for g, n in c.items() if n / c.total() >= language.MIN_SHARE} for k, c in counts.items()}
+    docs = _docs(spark, rows)
+    got = Counter((x["doc_id"], x["text"], x["lang_pred"], round(x["score"], 3)) for x in language.identify(docs, language.fit(docs)).collect())
+    want = Counter()
+    for i, t, _ in rows:
+        own = plain(t)
+        hits = [sum(g in members[k] for g in own) for k in sorted(parts)]
+        some = bool(own) and any(map(str.isalpha, t or ""))
+        want[i, t, sorted(parts)[hits.index(max(hits))] if some else "und", round(max(hits) / len(own), 3) if some else 0.0] += 1
+    assert got == want
+
+
 def test_language_filter_counts():
     import pandas as pd
 
@@ -409,6 +437,27 @@ def test_empty_tables(spark):
         assert out.count() == 0
 
 
+def test_null_ids_and_repeated_rows(spark):
+    """Rows without an id and rows alike are rows: none is lost and none is made."""
+    text = " ".join(f"word{i % 11}" for i in range(60))
+    rows = [(None, text, "en", "s"), (1, text, "en", "s"), (1, text, "en", "s"), (None, None, None, None), (2, "", None, "s"), (2, "other words", "en", None)]
+    docs, ids = _docs(spark, rows), sorted((r[0] for r in rows), key=repr)
+    for out in (
+        exact_dedup.exact_groups(docs), mixing.mix(docs), pii.find_personal_data(docs), substrings.without_repeats(docs), minhash.near_duplicates(docs), lm_scoring.scored(docs), language.identify(docs, language.fit(docs)),
+        packing.packed(docs).where("start = 0"),
+    ):
+        assert sorted((r["doc_id"] for r in out.select("doc_id").collect()), key=repr) == ids
+    said = spark.createDataFrame([(None, 1, "user", "a"), (None, 1, "user", "a"), (3, None, None, None)], "conv_id long, turn long, role string, text string")
+    assert sorted(((r["conv_id"], r["n_turns"]) for r in chat.digests(chat.formatted(said)).collect()), key=repr) == [(3, 1), (None, 2)]
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    _docs(spark, []).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages(spark, corpus, tmp_path):
     import corpus_pipeline
 
