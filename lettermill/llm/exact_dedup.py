@@ -1,7 +1,7 @@
 """Exact deduplication by content sort, with DataFrame functions only.
 
 Splitters drawn from a bounded sample of (leading bytes, row key) divide the rows into ranges of about equal
-size. Each range is sorted externally by its whole normalised text and then by identifier, so equal texts become
+bytes, and each range is a task's own. Each range is sorted externally by its whole normalised text and then by identifier, so equal texts become
 neighbours; a comparison of each full text with its neighbour's starts a new run wherever they differ. As the
 row key takes part in the splitters, copies of one text may cover many ranges, however many there are: no range
 grows with a group of copies. The runs of one text that lie in several ranges meet afterwards through their
@@ -28,20 +28,32 @@ def normalised(text: Column) -> Column:
 
 
 def _splitters(keys: DataFrame, n: int) -> list:
+    """Keys (lead, tie) that cut the rows into n ranges of about equal bytes. keys: lead, tie, bytes."""
     rows = keys.count()
     if rows == 0 or n < 2:
         return []
     share = min(1.0, SAMPLE_PER_RANGE * n / rows)
-    drawn = (keys if share == 1.0 else keys.sample(share, 17)).collect()
-    order = sorted((bytes(r[0]), r[1]) for r in drawn)
-    step = max(1, len(order) // n)
-    return sorted(set(order[step::step]))[: n - 1]
+    drawn = sorted((bytes(r[0]), r[1], r[2]) for r in (keys if share == 1.0 else keys.sample(share, 17)).collect())
+    each, at, out = sum(r[2] for r in drawn) / n, 0, []
+    for lead, tie, size in drawn:
+        if at >= each * (len(out) + 1) and (lead, tie) not in out[-1:]:
+            out.append((lead, tie))
+        at += size
+    return out[: n - 1]
+
+
+def _numbers(spark, n: int) -> list[int]:
+    """A number for each of n partitions that a shuffle by it leads there: ranges so named never share a task while others
+    stand empty."""
+    place = F.pmod(F.hash("id"), F.lit(n))
+    rows = spark.range(32 * n).groupBy(place.alias("place")).agg(F.min("id").alias("id")).collect()
+    return [r["id"] for r in sorted(rows, key=lambda r: r["place"])]
 
 
 def _range_of(lead: Column, tie: Column, splitters: list) -> Column:
     """Number of splitters at or below (lead, tie), searched in two levels of about sqrt(n) each."""
     if not splitters:
-        return F.lit(0)
+        return F.lit(0).cast("long")
     pair = lambda s: F.struct(F.lit(bytearray(s[0])).alias("lead"), F.lit(s[1]).cast("long").alias("tie"))
     width = max(1, int(len(splitters) ** 0.5))
     groups = [splitters[i : i + width] for i in range(0, len(splitters), width)]
@@ -65,8 +77,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), normalised(F.col(text_col)).alias("content"))
     lead = F.substring(F.col("content").cast("binary"), 1, LEAD_BYTES)
     tie = F.xxhash64(F.col("id"))
-    cut = docs.select(F.substring(F.regexp_replace(F.coalesce(F.substring(F.col(text_col), 1, 4 * LEAD_BYTES), F.lit("")), SPACES, " ").cast("binary"), 1, LEAD_BYTES).alias("lead"), F.xxhash64(F.col(id_col).cast("long")).alias("tie"))
-    rows = rows.withColumn("part", _range_of(lead, tie, _splitters(cut, n)))
+    cut = docs.select(F.substring(F.regexp_replace(F.coalesce(F.substring(F.col(text_col), 1, 4 * LEAD_BYTES), F.lit("")), SPACES, " ").cast("binary"), 1, LEAD_BYTES).alias("lead"), F.xxhash64(F.col(id_col).cast("long")).alias("tie"), (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 64).alias("bytes"))
+    splitters = _splitters(cut, n)
+    names = _numbers(docs.sparkSession, n) if splitters else []
+    part = _range_of(lead, tie, splitters)
+    rows = rows.withColumn("part", F.element_at(F.array(*[F.lit(x).cast("long") for x in names]), (part % len(names) + 1).cast("int")) if names else part)
     sorted_range = Window.partitionBy("part").orderBy(F.col("content"), F.col("id").asc_nulls_last())
     up_to_here = sorted_range.rowsBetween(Window.unboundedPreceding, 0)
     before = F.lag("content").over(sorted_range)
