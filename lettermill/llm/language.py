@@ -1,6 +1,6 @@
 """Language identification by language-bitmask n-gram filters.
 
-Training keeps, for each language, the letter n-grams that are frequent in it and not much more frequent elsewhere.
+Training keeps, for each language, the letter n-grams that are frequent in it, however frequent they are elsewhere.
 They go into one bit-sliced Bloom filter: a slot holds a bit for every language, and the AND of an n-gram's slots names
 all languages that contain it. A text's n-grams are counted for every language, the counts are corrected for the
 filter's false positives, and the language with the most decides.
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 from .tokens import batches
 
 #: The filters are fitted on at most about this many labelled documents of each language, drawn by a hash of the id.
@@ -21,8 +21,6 @@ SAMPLE_DOCS = 3000
 #: An n-gram belongs to a language if it makes up this share of the language's n-grams; so a language has at most
 #: 1 / MIN_SHARE n-grams, whatever the input, and the filter has a fixed size.
 MIN_SHARE = 2e-5
-#: ... and at least this share of what it makes up where it is most frequent.
-MIN_OF_MOST = 0.5
 GRAM = 3
 #: Characters looked at together: a worker holds about 100 bytes for each.
 CHARS = 400_000
@@ -124,14 +122,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                     yield pd.DataFrame({"gram": gram.astype(np.int64), "language": index[lang], "n": n})
 
     counted = known.where(drawn).select("text", "lang").mapInPandas(count, "gram long, language int, n long").groupBy("gram", "language").agg(F.sum("n").alias("n"))
-    from .common import written
-
     counted = written(counted, "language-grams")
     totals = {r["language"]: r["total"] for r in counted.groupBy("language").agg(F.sum("n").alias("total")).collect()}
     total = F.create_map(*[F.lit(x) for k, v in totals.items() for x in (k, float(v))]) if totals else F.create_map()
-    shares = counted.withColumn("share", F.col("n") / F.element_at(total, F.col("language"))).where(F.col("share") >= MIN_SHARE)
-    most = shares.groupBy("gram").agg(F.max("share").alias("most"))
-    members = shares.join(most, "gram").where(F.col("share") >= MIN_OF_MOST * F.col("most")).select("gram", "language").toPandas()
+    members = counted.where(F.col("n") / F.element_at(total, F.col("language")) >= MIN_SHARE).select("gram", "language").toPandas()
     return Filters(languages, members.sort_values(["gram", "language"]))
 
 
