@@ -319,15 +319,26 @@ MOJIBAKE = r"(?:â|ð|ï)(?:â|ð|ï|[\x{80}-\x{BF}]){2,}"
 
 
 def fix_mojibake(text: Column, percent: bool = False) -> Column:
-    """Latin-1 back to UTF-8 where the text shows it and over half of it survives. percent: %XX is decoded first and the
-    result is in NFC."""
+    """Latin-1 back to UTF-8 where the text shows it and over half of it survives. percent: %XX is decoded first, a text with a
+    literal \\u00 is repaired too if that brings out Georgian letters, and the result is in NFC."""
     if percent:
         text = F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+        narrow = F.contains(text, F.lit("\\u00")) & text.rlike(r"^[\x{00}-\x{FF}]*\z")
+        text = F.when(narrow, _georgian_repaired(text)).otherwise(text)
     hint = text.rlike(MOJIBAKE) & text.rlike(r"^[\x{00}-\x{FF}]*\z")
     out = F.when(hint, _latin1_repaired(text)).otherwise(text)
     return normalized(out, "NFC") if percent else out
 
 
+@F.pandas_udf(StringType())
+def _georgian_repaired(texts: pd.Series) -> pd.Series:
+    def fix(t):
+        new = t.encode("latin1").decode("utf-8", errors="ignore")
+        return new if any("\u10a0" <= c <= "\u10ff" for c in new) else t
+
+    return texts.map(fix, na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def _latin1_repaired(texts: pd.Series) -> pd.Series:
     def fix(t):

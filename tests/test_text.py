@@ -94,3 +94,12 @@ def test_dates(spark):
     assert got == ["2023-02-13 20:46:17", "2023-02-13 20:46:00", "1970-02-13 20:46:00", None]
     assert one(spark, lambda t: I.chat_date(t, "+02:00").cast("string"), "13/02/2023, 20:46") == ["2023-02-13 18:46:00"]
     assert one(spark, I.from_2020_on, "2020-01-01T00:00:00+04:00", "2019-12-31T23:00:00Z", "soon", None) == [True, False, False, False]
+
+
+def test_messenger_repair_of_literal_escapes(spark):
+    from lettermill.functions import text as T
+
+    broken = "\\u00 " + "მადლობა".encode().decode("latin1")
+    rows = spark.createDataFrame([(1, broken), (2, "\\u00 plain"), (3, "caf%C3%A9 a+b"), (4, None)], "i int, t string")
+    got = {r["i"]: r["f"] for r in rows.select("i", T.fix_mojibake(F.col("t"), percent=True).alias("f")).collect()}
+    assert got == {1: "\\u00 მადლობა", 2: "\\u00 plain", 3: "café a+b", 4: None}
