@@ -358,7 +358,7 @@ def test_mixer_is_a_probability():
     total = 0.0
     for value in range(256):
         one = np.array([value]), np.array([0]), np.array([0])
-        total += 10 ** lm_scoring.mix([("class", one[2], one[1], one[0], tuple(np.array([x]) for x in (0, 5, 9, 3)))], table, _start(), 1)[0]
+        total += 10 ** lm_scoring.mix([("class", one[2], one[1], one[0], tuple(np.array([x]) for x in (0, 5, 9)))], table, _start(), 1)[0]
     assert total == pytest.approx(1, abs=1e-4)
 
 
