@@ -333,7 +333,10 @@ def fix_mojibake(text: Column, percent: bool = False) -> Column:
 @F.pandas_udf(StringType())
 def _georgian_repaired(texts: pd.Series) -> pd.Series:
     def fix(t):
-        new = t.encode("latin1").decode("utf-8", errors="ignore")
+        try:  # it is computed for every row, and used where the text is narrow
+            new = t.encode("latin1").decode("utf-8", errors="ignore")
+        except UnicodeEncodeError:
+            return t
         return new if any("\u10a0" <= c <= "\u10ff" for c in new) else t
 
     return texts.map(fix, na_action="ignore")
