@@ -32,3 +32,19 @@ def test_content_types_reads_every_text(spark, tmp_path):
     assert [(r["content_type"], r["reply_hint"]) for r in rows] == [("voice", False), ("text", True), ("text", False), ("text", False), ("other", False)]
     assert [r["marked_type"] for r in rows] == ["voice", "photo", "photo", "photo", "other"] and [r["linked_type"] for r in rows] == ["voice", "text", "link", "text", "other"]
     assert [r["quoted_hint"] for r in rows] == [True] * 4 + [False]
+
+
+def test_style_features_round_as_their_sql(spark, tmp_path):
+    """A mean that ends in a 5 at the sixth digit: 1527 letters in 320 words, which as a double times 100000 lies below the half."""
+    import duckdb
+
+    texts = [" ".join(["abcde"] * 247 + ["abcd"] * 73), " ".join(["abcdefg"] + ["abc"] * 31), "one, two. three!", ""]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    found = con.execute(catalog.ORACLE["style_features"])
+    names = [c[0] for c in found.description]
+    want = {r[0]: dict(zip(names, r, strict=True)) for r in found.fetchall()}
+    got = {r["doc_id"]: r.asDict() for r in catalog.QUERIES["style_features"](spark, str(tmp_path)).collect()}
+    assert got[0]["avg_word_length"] == 4.77187 and {k: {c: round(v, 9) for c, v in r.items()} for k, r in got.items()} == {k: {c: round(v, 9) for c, v in r.items()} for k, r in want.items()}
