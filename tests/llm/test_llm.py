@@ -268,6 +268,27 @@ def test_packing(spark, corpus):
         assert at <= 2048
 
 
+def test_word_ids_without_the_whole_tokenizer(monkeypatch):
+    """Words of letters, with or without punctuation behind them, go to the model alone, and those seen before a full store are
+    kept; all ids are the tokenizer's own."""
+    from lettermill.llm import tokens
+
+    path = tokens.vocabulary("word_bpe_49k.json")
+    r = random.Random(3)
+    plain = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzßäéñøÿ") for _ in range(r.randint(1, 12))) + r.choice(["", ",", ".", "%%%", "...", "')", "&&&"]) for _ in range(3000)]
+    odd = ["don't,", "x's", "x's.", "x'", "'s,", "a'll'", "<|endoftext|>", "a<|endoftext|>.", "A<|b|>,", "e\u0301,", "é.", "É!", "×,", "÷%", "a×,", "ﬁ.", "İ.", "ΑΣ,", "a=\u0338", "1,", "a1.", "\u00a0a,", "a\u00a0b", "ⅷ.", "ª,", "\x1c,a", "日本,", "a.b,c..", "...", "A" * 70 + "?", "\U0001d400x!"]
+    monkeypatch.setattr(tokens.WordEncoder, "MOST_WORDS", 500)
+    encoder, whole = tokens.WordEncoder(path), tokens.tokenizer(path).encode
+    for text in odd + [w + " " + o for w, o in zip(plain, odd, strict=False)] + [" ".join(odd)]:
+        assert encoder.ids(text).tolist() == whole(text, add_special_tokens=False).ids, text
+    asked = []
+    monkeypatch.setattr(encoder, "encode", lambda w, **kw: asked.append(w) or whole(w, **kw))
+    for i in range(0, 3000, 50):
+        text = " ".join(plain[i : i + 50] + ["1st"])
+        assert encoder.ids(text).tolist() == whole(text, add_special_tokens=False).ids
+    assert not any(w[0].isalpha() for w in asked) and asked.count("1st") == 1
+
+
 def test_first_fit():
     rng = np.random.RandomState(1)
     sizes = rng.randint(1, 100, 500)
