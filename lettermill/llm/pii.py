@@ -31,10 +31,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A token with a digit or an at sign in it.
 CANDIDATE = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-#: Candidates that follow one another on a line, with at most the punctuation of telephone numbers between: a base span is
-#: never in two runs, as it has 19 digits at most, unless its run is cut at RUN_TOKENS, where it counts in both.
-RUN_TOKENS = 64
-RUN = rf"(?<![^\x20\x09-\x0D]){CANDIDATE}(?:[\x20\x09]++(?:[().-]++[\x20\x09]++)*+{CANDIDATE}){{0,{RUN_TOKENS - 1}}}+"
+#: Candidates that follow one another on a line, however many, with at most the punctuation of telephone numbers between: a
+#: base span is never in two runs, as it has 19 digits at most.
+RUN = rf"(?<![^\x20\x09-\x0D]){CANDIDATE}(?:[\x20\x09]++(?:[().-]++[\x20\x09]++)*+{CANDIDATE})*+"
 #: Long runs of hexadecimal digits, in lower or upper case, with figures and letters among them.
 SECRET = r"(?<![0-9A-Za-z])(?:(?=[0-9]*+[a-f])(?=[a-f]*+[0-9])[0-9a-f]{32,}+|(?=[0-9]*+[A-F])(?=[A-F]*+[0-9])[0-9A-F]{32,}+)(?![0-9A-Za-z])"
 KINDS = ("email", "ip", "card", "phone")
@@ -43,8 +42,6 @@ SEEDS = (*KINDS, "secret")
 ROUNDS = 3
 #: A pattern needs so many distinct trusted instances, and such a score, to mark others.
 MIN_SUPPORT, MIN_SCORE = 3, 0.8
-#: A run with more seeds than this is one instance, a trusted one.
-RUN_SEEDS = 64
 #: Parts that the scores of patterns are copied to, so that a pattern's edges meet them in so many tasks.
 SALTS = 8
 _SPAN, _MATCH = "array<struct<start:long,end:long>>", "array<struct<start:long,end:long,value:string,before:string,after:string>>"
@@ -132,30 +129,41 @@ def _shape(value: Column) -> Column:
 
 def _units(run: Column) -> Column:
     """Instances of a run (start, end, instance, patterns, seed): its seeds, and the stretches of whole tokens before, between
-    and after them."""
-    seeds, count = run["seeds"], F.size(run["seeds"])
-
-    def stretch(i):
-        left = F.when(i > 0, F.get(seeds, i - 1)["end"]).otherwise(run["start"])
-        right = F.when(i < count, F.get(seeds, i)["start"]).otherwise(run["end"])
-
-        def inside(gap):
-            # what is left of a seed's own tokens goes with the seed
-            after = F.when(i > 0, F.regexp_replace(gap, r"^[^\x20\x09]++", "")).otherwise(gap)
-            own = F.when(i < count, F.regexp_replace(after, r"(?<![^\x20\x09])[^\x20\x09]++\z", "")).otherwise(after)
-            value = F.regexp_extract(own, f"({RUN})", 1)
-            start = left + F.length(gap) - F.length(after) + F.length(F.get(F.split(own, RUN, 2), F.lit(0)))
-            return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), (i == 0).alias("first"), F.lit(False).alias("seed"))
-
-        return let(F.substring(run["value"], (left - run["start"] + 1).cast("int"), (right - left).cast("int")), inside)
-
-    def every(rest):
-        lone = F.length(F.get(rest, F.lit(0))["value"]) == 0
-        own = F.transform(seeds, lambda b, i: F.struct(b["start"].alias("start"), b["end"].alias("end"), F.substring(run["value"], (b["start"] - run["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int")).alias("value"), ((i == 0) & lone).alias("first"), F.lit(True).alias("seed")))
-        return F.concat(own, F.filter(rest, lambda u: F.length(u["value"]) > 0))
-
-    whole = F.array(F.struct(run["start"].alias("start"), run["end"].alias("end"), run["value"].alias("value"), F.lit(True).alias("first"), (count > 0).alias("seed")))
-    found = F.when((count == 0) | (count > RUN_SEEDS), whole).otherwise(let(F.transform(F.sequence(F.lit(0), count), stretch), every))
+    and after them. Of many seeds a block at a time, which works on its own part of the run's text."""
+    part = lambda whole, left, right: F.substring(whole["value"], (left - whole["start"] + 1).cast("int"), (right - left).cast("int"))
+
+    def block(own, b, blocks):
+        count, final = F.size(own), b == F.size(blocks) - 1
+        begin = F.when(b > 0, F.element_at(F.get(blocks, b - 1), -1)["end"]).otherwise(run["start"])
+        close = F.when(final, run["end"]).otherwise(F.element_at(own, -1)["end"])
+
+        def units(text):
+            def stretch(i):
+                left = F.when(i > 0, F.get(own, i - 1)["end"]).otherwise(text["start"])
+                right = F.when(i < count, F.get(own, i)["start"]).otherwise(text["end"])
+
+                def inside(gap):
+                    # what is left of a seed's own tokens goes with the seed
+                    after = F.when((b > 0) | (i > 0), F.regexp_replace(gap, r"^[^\x20\x09]++", "")).otherwise(gap)
+                    mine = F.when(i < count, F.regexp_replace(after, r"(?<![^\x20\x09])[^\x20\x09]++\z", "")).otherwise(after)
+                    value = F.regexp_extract(mine, f"({RUN})", 1)
+                    start = left + F.length(gap) - F.length(after) + F.length(F.get(F.split(mine, RUN, 2), F.lit(0)))
+                    return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), ((b == 0) & (i == 0)).alias("first"), F.lit(False).alias("seed"))
+
+                return let(part(text, left, right), inside)
+
+            def every(rest):
+                lone = (b == 0) & (F.length(F.get(rest, F.lit(0))["value"]) == 0)
+                seeds = F.transform(own, lambda s, i: F.struct(s["start"].alias("start"), s["end"].alias("end"), part(text, s["start"], s["end"]).alias("value"), ((i == 0) & lone).alias("first"), F.lit(True).alias("seed")))
+                return F.concat(seeds, F.filter(rest, lambda u: F.length(u["value"]) > 0))
+
+            # a stretch before each seed; behind the last one of all, one more
+            return let(F.transform(F.sequence(F.lit(0), F.when(final, count).otherwise(count - 1)), stretch), every)
+
+        return let(F.struct(begin.alias("start"), close.alias("end"), part(run, begin, close).alias("value")), units)
+
+    whole = F.array(F.struct(run["start"].alias("start"), run["end"].alias("end"), run["value"].alias("value"), F.lit(True).alias("first"), F.lit(False).alias("seed")))
+    found = F.when(F.size(run["seeds"]) == 0, whole).otherwise(let(_blocks(run["seeds"]), lambda blocks: F.flatten(F.transform(blocks, lambda own, b: block(own, b, blocks)))))
     word = F.substring_index(run["left"], " ", -1)
 
     def patterns(u):

@@ -131,6 +131,20 @@ def test_pii_of_many_matches_in_one_text(spark):
         assert [(k, s["start"], s["end"]) for k in pii.KINDS for s in r[k]] == brute.base_pii(text)
 
 
+def test_pii_runs_of_many_seeds_and_tokens(spark):
+    """However many seeds or tokens a run has, what stands between its seeds is found, and it isn't cut."""
+    full = lambda head: next(head + d for d in "0123456789" if brute.luhn(head + d))
+    cards = [full(str(433716659846439 + 7919 * i)) for i in range(12)]
+    known = [(i, f"word{chr(97 + i)} {c} x{chr(97 + i)}") for i, c in enumerate(cards)] + [(20 + i, f"Text. the clinic answers +1 (017) 555-77{i:02} by day") for i in range(12)]
+    pairs = [f"é{i}@b.org,d{i}@b.org" for i in range(2000)]
+    wrong, row = "1234567890123456", " ".join(str(7 + 13 * i) for i in range(200))
+    said = [(50, "in " + " ".join(pairs[:40] + [wrong] + pairs[40:80]) + " out"), (51, "x " + " ".join(pairs[:1500] + [wrong] + pairs[1500:] + [wrong])), (52, f"😀 x clinic answers {row} now")]
+    got = {r["doc_id"]: r for r in pii.find_personal_data(_docs(spark, known + said)).collect()}
+    ids = {k: [t[s["start"] : s["end"]] for s in got[k]["identifier"]] for k, t in said}
+    assert ids == {50: [wrong], 51: [wrong, wrong], 52: [row]}
+    assert [len(got[k]["email"]) for k in (50, 51, 52)] == [160, 4000, 0]
+
+
 def test_pii_redacted(spark):
     rows = [(1, "é a@b.com 300.1.1.1 and 1.2.3.4, +1 (988) 555-2485 or 4337166598464399 not 4337166598464398"), (2, None), (3, ""), (4, "plain"), (5, "+1.2.3.4567890 x@y.zz")]
     got = {r["doc_id"]: r["text"] for r in pii.redacted(_docs(spark, rows)).collect()}
