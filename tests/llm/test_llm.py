@@ -463,6 +463,30 @@ def test_fit_recovers_what_the_counts_say(spark, corpus):
     assert run(lm_scoring.fitted(encoded, gathered)) > run(_start())
 
 
+def test_fit_is_over_all_training_documents(spark):
+    """Weights code about as well as those of a plain regression over the decisions of every training document, of which there
+    are many more than 512."""
+    r = random.Random(9)
+    vocab = [["".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(200)] for letters in ("abcde", "vwxyz")]
+    rows = [(i, " ".join(r.choice(vocab[i % 2]) if r.random() < 0.9 else f"{r.randrange(10**6)}" for _ in range(r.randint(1, 30)))) for i in range(1600)]
+    docs = lm_scoring._blocked(_docs(spark, rows), "doc_id", "text", F.col("doc_id") % 5 > 0)
+    words = lm_scoring.written(lm_scoring._word_rows(docs), "t")
+    counts = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
+    encoded = lm_scoring.written(lm_scoring._encoded(docs, words.select("block", "word").join(counts, "word"), 1000, 100, np.full((2, 1 << 16), 10_000)), "t")
+    gathered = lm_scoring._gathered(encoded)
+    found, own = lm_scoring.fitted(encoded, gathered), encoded.where("learn").select(*lm_scoring.ENCODED).toPandas()
+    assert len(own) == 1280
+    for name, _, _, value, contexts in lm_scoring._streams(*lm_scoring._unpacked(own)):
+        for d, bit, slots in lm_scoring._decisions(name, value, contexts):
+            x = np.stack([lm_scoring._logit(np.maximum(gathered[2 * s] - (bit == 0), 0), np.maximum(gathered[2 * s + 1] - bit, 0)) for s in slots], axis=1).astype(float)
+            cost = lambda w: np.logaddexp(0, np.where(bit == 1, -1, 1) * (x @ w)).sum() + lm_scoring.RIDGE / 2 * ((w - lm_scoring.START_WEIGHT) ** 2).sum()
+            w = np.full(len(slots), lm_scoring.START_WEIGHT)
+            for _ in range(12):
+                p = 1 / (1 + np.exp(-(x @ w)))
+                w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + lm_scoring.RIDGE * np.eye(len(w)), x.T @ (p - bit) + lm_scoring.RIDGE * (w - lm_scoring.START_WEIGHT))
+            assert cost(found[name][d]) < 1.006 * cost(w), (name, d)  # logits are sorted into levels
+
+
 def test_empty_tables(spark):
     none = _docs(spark, []) if False else spark.createDataFrame([], CLASH)
     for out in (
