@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ MIN_SHARE = 2e-5
 GRAM = 3
 #: Characters looked at together: a worker holds about 100 bytes for each.
 CHARS = 400_000
+#: Texts of a batch taken out of it together.
+ROWS = 500
 SLOTS, HASHES = 1 << 20, 3
 UNDECIDED = "und"
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -138,18 +141,20 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text", min_shar
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(column: pd.Series) -> pd.DataFrame:
-        own, texts = shared.value, [t or "" for t in column]
-        names, scores = [UNDECIDED] * len(texts), [0.0] * len(texts)
-        for a, b in batches(texts, CHARS) if own.languages else ():
-            n, hits = own.counts(texts[a:b])
-            best = hits.argmax(axis=1)
-            for i in range(b - a):
-                share = min(1.0, float(hits[i, best[i]]) / max(1, int(n[i])))
-                if n[i] > 0 and share >= min_share and any(map(str.isalpha, texts[a + i])):
-                    names[a + i], scores[a + i] = own.languages[best[i]], share
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(column: pa.Array) -> pa.Array:
+        own = shared.value
+        names, scores = [UNDECIDED] * len(column), [0.0] * len(column)
+        for start in range(0, len(column), ROWS) if own.languages else ():  # the whole batch stays in Arrow's compact form
+            texts = [t or "" for t in column.slice(start, ROWS).to_pylist()]
+            for a, b in batches(texts, CHARS):
+                n, hits = own.counts(texts[a:b])
+                best = hits.argmax(axis=1)
+                for i in range(b - a):
+                    share = min(1.0, float(hits[i, best[i]]) / max(1, int(n[i])))
+                    if n[i] > 0 and share >= min_share and any(map(str.isalpha, texts[a + i])):
+                        names[start + a + i], scores[start + a + i] = own.languages[best[i]], share
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     return docs.select(F.struct(*kept).alias("doc"), predict(F.col(text_col)).alias("found")).select("doc.*", "found.lang_pred", "found.score")

@@ -15,13 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import arrow_rows, table, written
 from .tokens import batches, vocabulary, text_encoder
 
 SEQUENCE = 2048
 END_ID = 1
 #: Pieces a group on average; groups are packed apart, each wastes at most about one sequence.
 GROUP_PIECES = 1024
+#: Documents a batch to Python.
+BATCH_ROWS = 1000
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -80,7 +82,8 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     an empty result. Groups depend on ids, texts and rows' places in their files, so reruns over the same files agree and
     repeated rows are spread.
     """
-    pieces = written(token_pieces(docs, id_col, text_col, path or vocabulary(VOCABULARY), sequence, with_ids), "pack-pieces")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        pieces = written(token_pieces(docs, id_col, text_col, path or vocabulary(VOCABULARY), sequence, with_ids), "pack-pieces")
     loose = pieces.where(F.col("length") < sequence)
     groups = max(1, -(-loose.count() // GROUP_PIECES))
     full = pieces.where(F.col("length") == sequence).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))

@@ -303,6 +303,37 @@ def test_word_ids_without_the_whole_tokenizer(monkeypatch):
     assert not any(w[0].isalpha() for w in asked) and asked.count("1st") == 1
 
 
+def test_word_store_is_bounded_within_a_text(monkeypatch):
+    """A text of more distinct words than the store may hold: what is kept stays bounded while it is read."""
+    import tracemalloc
+
+    from lettermill.llm import tokens
+
+    encoder = tokens.WordEncoder(tokens.vocabulary("word_bpe_49k.json"))
+    monkeypatch.setattr(encoder, "_encoded", lambda word: word[-8:])
+    text = " ".join(f"w{i:07d}" for i in range(900_000))
+    tracemalloc.start()
+    try:
+        found = encoder.ids(text)
+        kept, most = tracemalloc.get_traced_memory()[0], encoder.MOST_WORDS
+    finally:
+        tracemalloc.stop()
+    assert found.tobytes() == text.replace(" ", "").encode()
+    assert len(encoder) <= most and len(encoder.old) <= most and kept < 120_000_000
+
+
+def test_packing_reads_short_batches(spark, monkeypatch):
+    """Python gets at most BATCH_ROWS texts at once, and the session's own setting comes back."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    plain = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, label: seen.update({label: int(spark.conf.get(key))}) or plain(df, label))
+    before = spark.conf.get(key)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('word ', id) AS text").coalesce(1)
+    rows = packing.packed(docs).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(3000))
+    assert seen["pack-pieces"] <= 1000 < int(before) and spark.conf.get(key) == before
+
+
 def test_first_fit():
     rng = np.random.RandomState(1)
     sizes = rng.randint(1, 100, 500)
