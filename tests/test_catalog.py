@@ -3,6 +3,8 @@
 import html
 import re
 
+import pytest
+
 from lettermill.plans import catalog
 
 
@@ -48,3 +50,22 @@ def test_style_features_round_as_their_sql(spark, tmp_path):
     want = {r[0]: dict(zip(names, r, strict=True)) for r in found.fetchall()}
     got = {r["doc_id"]: r.asDict() for r in catalog.QUERIES["style_features"](spark, str(tmp_path)).collect()}
     assert got[0]["avg_word_length"] == 4.77187 and {k: {c: round(v, 9) for c, v in r.items()} for k, r in got.items()} == {k: {c: round(v, 9) for c, v in r.items()} for k, r in want.items()}
+
+
+#: Runs that share a character with the next one, or whose sign follows such a character.
+RUNS = (
+    "call 0123456789 +49 170 1234567 now", "0123456789, +4917012345678, 0123456789,0123456789", "1234567890+123 4567890123/123 4567890123", "x+1234567890 y1234567890 (555) 123-4567",
+    "a@b.co1x@y.org, a.b@c.d.ef.@g.hi a@b x@y.zz@q.rr", "AB-12,CD-34,EF-56 xAB-12 GHIJKL-77 ab-12", "see http://x.y,www.a.b www.c.d(www.e.f) é1234567890é ١٢٣٤٥٦٧٨٩٠١", "", None,
+    "[+1 (555) 123-4567] +1 (555) 123-4567\n+1 (555) 123-4567 ", "1234567 +1234567,1234567;1234567  ", "1.2.3.4.5.6.7.8.9.0.1.2.3.4.5.6.7.8.9.0.1.2.3 12-34-56-78\n",
+)
+
+
+@pytest.mark.parametrize("name", ["pii_redact_mail"])
+def test_redaction_as_its_sql(spark, tmp_path, name):
+    import duckdb
+
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(RUNS)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert sorted(map(tuple, catalog.QUERIES[name](spark, str(tmp_path)).collect())) == sorted(con.execute(catalog.ORACLE[name]).fetchall())
