@@ -60,7 +60,7 @@ RUNS = (
 )
 
 
-@pytest.mark.parametrize("name", ["pii_redact_mail"])
+@pytest.mark.parametrize("name", ["pii_redact_mail", "pii_redact_social"])
 def test_redaction_as_its_sql(spark, tmp_path, name):
     import duckdb
 
