@@ -657,4 +657,4 @@ def source_lang_cube(spark, d):
 @query(f"SELECT doc_id, length({sql_stripped('text')})::BIGINT AS n_stripped, len({sql_words('text')})::BIGINT AS n_words, {sql_matches('text', 'license', 'i')} AS licensed FROM documents")
 def text_measures(spark, d):
     t = F.col("text")
-    return _docs(spark, d).select("doc_id", F.length(stripped(t)).cast("long").alias("n_stripped"), word_total(t).alias("n_words"), t.rlike("(?i)license").alias("licensed"))
+    return _docs(spark, d).select("doc_id", F.length(stripped(t)).cast("long").alias("n_stripped"), word_total(t).alias("n_words"), F.contains(F.replace(F.lower(t), F.lit("ſ"), F.lit("s")), F.lit("license")).alias("licensed"))
