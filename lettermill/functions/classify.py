@@ -2,66 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import lexicons as L
-from .regexlib import SPACE_CLASS, WORD_CLASS, Rule, count, has_word, let, matches, sql_count, sql_matches, sql_stripped, sql_text, sql_words, stripped, words
+from .regexlib import WORD_CLASS, Rule, count, has_word, matches, sql_count, sql_matches, sql_stripped, sql_text, sql_words, stripped, words
 from .text import URL
 
 _GROUP_WORDS = tuple(rf"\b(?:{'|'.join(g)})\b" for g in L.ENGLISH_GROUPS)
 _VOWELS = tuple(rf"\b[a-z]*[aeiou]{{{n}}}[a-z]*\b" for n in (6, 7))
 
 
-def _sum(columns) -> Column:
-    total = F.lit(0)
-    for c in columns:
-        total = total + c
-    return total
+#: Bits of a count in a sum of words' counts, and the words that a task keeps the counts of; longer ones aren't kept.
+_COUNT_BITS, _KEPT_WORDS, _KEPT_LENGTH = 40, 100_000, 40
+
+
+class _WordCounts(dict):
+    """What a lower-case ASCII word adds to each count of its text, side by side in one integer: a text's counts are a sum."""
+
+    def __init__(self, english_words: Sequence[str]):
+        among = lambda xs: frozenset(xs).__contains__
+        open_ = lambda w: w not in L.ENGLISH_EXCEPTIONS
+        clustered, ended = re.compile("|".join(L.GEORGIAN_CLUSTERS)).search, re.compile(rf"(?:{'|'.join(L.GEORGIAN_ENDINGS)})\Z").search
+        hits, vowels = [re.compile(p).findall for p in _GROUP_WORDS], [re.compile(p).findall for p in _VOWELS]
+        clear = among(L.CLEARLY_GEORGIAN)
+        self.tests = (
+            among(L.GEORGIAN_STOPWORDS), among(english_words), among(L.ENGLISH_STRUCTURE), lambda w: open_(w) and clustered(w) is not None,
+            lambda w: open_(w) and w != "it" and ended(w) is not None, lambda w: clear(re.sub("[^a-z0-9_]", "", w)),
+            lambda w: sum(len(f(w)) for f in hits), lambda w: sum(len(f(w)) for f in vowels) if len(w) > 5 else 0,
+        )
+
+    def __missing__(self, word: str) -> int:
+        found = sum(int(test(word)) << _COUNT_BITS * i for i, test in enumerate(self.tests))
+        if len(word) <= _KEPT_LENGTH:
+            if len(self) >= _KEPT_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+    def bucket(self, text: str) -> str:
+        own = text.lower().split()
+        n, total = len(own), sum(map(self.__getitem__, own))
+        stop, known, structure, clustered, ended, clear, hits, vowels = [total >> _COUNT_BITS * i & (1 << _COUNT_BITS) - 1 for i in range(8)]
+        if n == 1:
+            return "ka_en" if stop else "en"
+        if (known * 10 >= n * 6) + (hits * 10 >= n * 3) + (structure * 5 >= n) >= 2:
+            return "en"
+        if clustered * 10 >= n * 6 or ended >= 6 or stop >= 2 or vowels * 10 >= n:
+            return "ka_en"
+        if n <= 5:
+            return "en" if known * 2 >= n else "ka_en" if stop else "unknown"
+        return "ka_en" if stop or clear else "en"
 
 
 def language_bucket(text: Column, english_words: Sequence[str] = tuple(L.ENGLISH_WORDS)) -> Column:
     """ka (Georgian letters), ka_en (Georgian in Latin letters), en or unknown: the first rule that fires decides.
 
     The words of a text are cut at white space and keep their punctuation. english_words: the dictionary of the English
-    test. Null, empty and one-character texts are unknown.
+    test. Null, empty and one-character texts are unknown. Words are looked at in Python, each distinct one once; it gets
+    only the texts that their words decide.
     """
 
-    def decided(plain: Column, low: Column, own: Column) -> Column:
-        among = lambda xs: F.size(F.filter(own, lambda w: w.isin(*xs)))
-        open_ = lambda w: ~w.isin(*L.ENGLISH_EXCEPTIONS)
-        # one pass over the text finds the words in question, instead of a pattern a word
-        held, gap = f"[^{SPACE_CLASS}]", f"(?<![^{SPACE_CLASS}])"
-        whole = lambda p: F.regexp_extract_all(low, F.lit(f"({gap}{p})"), F.lit(1))
-        clustered = F.size(F.filter(whole(f"{held}*?(?:{'|'.join(L.GEORGIAN_CLUSTERS)}){held}*+"), open_))
-        ended = F.size(F.filter(whole(f"{held}*(?:{'|'.join(L.GEORGIAN_ENDINGS)})(?!{held})"), lambda w: open_(w) & ~w.isin("it")))
-        clear = F.arrays_overlap(words(F.regexp_replace(low, f"[^{WORD_CLASS}{SPACE_CLASS}]", "")), F.array(*[F.lit(w) for w in L.CLEARLY_GEORGIAN]))
-        hits, vowels = _sum(F.regexp_count(low, F.lit(p)) for p in _GROUP_WORDS), _sum(F.regexp_count(low, F.lit(p)) for p in _VOWELS)
-        n = F.size(own)
-
-        def by_words(c: Column) -> Column:
-            stop, known, structure = c["stop"], c["known"], c["structure"]
-            english = (known / n >= 0.6).cast("int") + (hits >= n * 0.3).cast("int") + (structure / n >= 0.2).cast("int")
-            return (
-                F.when(n == 1, F.when(stop > 0, "ka_en").otherwise("en"))
-                .when(english >= 2, "en")
-                .when((clustered / n >= 0.6) | (ended >= 6) | (stop >= 2) | (vowels >= n * 0.1), "ka_en")
-                .when(n <= 5, F.when(known / n >= 0.5, "en").when(stop > 0, "ka_en").otherwise("unknown"))
-                .when((stop > 0) | clear, "ka_en")
-                .otherwise("en")
-            )
-
-        counts = F.struct(among(L.GEORGIAN_STOPWORDS).alias("stop"), among(english_words).alias("known"), among(L.ENGLISH_STRUCTURE).alias("structure"))
-        return (
-            F.when(plain.isNull() | (F.length(plain) < 2), "unknown")
-            .when(plain.rlike(r"[\x{10A0}-\x{10FF}]"), "ka")
-            .when(~plain.rlike(r"^\p{ASCII}*\z"), "unknown")
-            .otherwise(let(counts, by_words))
-        )
+    @F.pandas_udf(StringType())
+    def by_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counts = _WordCounts(english_words)
+        for texts in batches:
+            yield texts.map(counts.bucket, na_action="ignore")
 
-    return let(stripped(text), lambda plain: let(F.lower(plain), lambda low: let(words(low), lambda own: decided(plain, low, own))))
+    plain = stripped(text)
+    decided = F.when(plain.isNull() | (F.length(plain) < 2), "unknown").when(plain.rlike(r"[\x{10A0}-\x{10FF}]"), "ka").when(~plain.rlike(r"^\p{ASCII}*\z"), "unknown")
+    return F.coalesce(decided, by_words(F.when(decided.isNull(), text)))
 
 
 def _sql_list(xs) -> str:

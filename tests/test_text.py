@@ -110,3 +110,10 @@ def test_iso_dates_of_late_years(spark):
     rows = spark.createDataFrame([(-1,), (253402300799999,), (253402300800000,), (1600000000000 + 5999999 * 86399999,), (9000000000000000,), (None,)], "t long")
     got = [r[0] for r in rows.select(I.iso_from_ms(F.col("t"))).collect()]
     assert got == ["1969-12-31T23:59:59Z", "9999-12-31T23:59:59Z", "10000-01-01T00:00:00Z", "18448-02-21T10:46:40Z", "287168-08-24T16:00:00Z", None]
+
+
+def test_language_words_are_kept_within_a_bound(monkeypatch):
+    monkeypatch.setattr(C, "_KEPT_WORDS", 10)
+    counts = C._WordCounts(("the", "office"))
+    assert counts.bucket(" ".join(f"w{i}" for i in range(1000)) + " " + "x" * 1000) == "en" and len(counts) <= 10
+    assert [counts.bucket(t) for t in ("The office", "rogor xar", "aaaaaa b c d e f g h", "it")] == ["en", "ka_en", "ka_en", "en"]
