@@ -70,9 +70,25 @@ def weighted_mix(pairs: DataFrame, monos: DataFrame, pair_weight: int = 3, mono_
     return out.withColumn("order_key", hash_key(F.col("kind"), F.col("id"), seed=seed))
 
 
+#: Bytes of text that a partition of like lengths holds, and how finely lengths are told apart.
+BUCKET_BYTES, LENGTH_STEPS = 64 << 20, 16
+
+
 def length_buckets(rows: DataFrame, column: str, n: int) -> DataFrame:
-    """Rows of like length in the same partition, for batches with little padding."""
-    return rows.repartitionByRange(n, F.length(column)).sortWithinPartitions(F.length(column))
+    """Rows of like length in the same partition, for batches with little padding. About n partitions of like size in bytes,
+    and as many more as keep each near BUCKET_BYTES. Lengths are counted first, in LENGTH_STEPS steps an octave: what comes to
+    the driver is one row a step. Rows of one step that don't fit one partition are dealt by their hash."""
+    step = F.floor(F.log2(F.coalesce(F.length(column), F.lit(0)) + 1) * LENGTH_STEPS).cast("int")
+    sizes = dict(rows.groupBy(step.alias("step")).agg(F.sum(F.coalesce(F.octet_length(column), F.lit(0)) + 64).alias("bytes")).collect())
+    share, before, first, parts = max(1, min(BUCKET_BYTES, -(-sum(sizes.values()) // n))), 0, [], []
+    for s in range(max(sizes, default=0) + 1):
+        upto = before + sizes.get(s, 0)
+        first.append(before // share)
+        parts.append(max(1, -(-upto // share) - before // share))
+        before = upto
+    own = lambda values: F.get(F.lit(values), step)
+    part = (own(first) + F.pmod(F.xxhash64(*rows.columns), own(parts))).cast("int")
+    return rows.repartitionById(max(1, -(-before // share)), part).sortWithinPartitions(F.length(column))
 
 
 def without_nulls(rows: DataFrame) -> DataFrame:

@@ -115,3 +115,20 @@ def test_ratings(spark):
     r = ratings.lora_vs_base(df, "me").first()
     assert (r["lora_advantage"], r["human_likeness_ratio"]) == (0.5, 1.0)
     assert "strong advantage" in ratings.report(df, "me").first()[0]
+
+
+def test_length_buckets_are_bounded_in_bytes(spark, monkeypatch):
+    """Long texts and many of one length are dealt to more partitions than asked for."""
+    from pyspark.sql import functions as F
+
+    from lettermill.operators import dataset
+
+    monkeypatch.setattr(dataset, "BUCKET_BYTES", 50_000)
+    rows = spark.createDataFrame([(i, None if i == 7 else "x" * (1000 if i < 500 else i)) for i in range(1000)], "i long, t string")
+    found = dataset.length_buckets(rows, "t", 2).withColumn("p", F.spark_partition_id()).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r["p"], []).append(len(r["t"] or ""))
+    assert sorted(r["i"] for r in found) == list(range(1000)) and max(map(sum, held.values())) < 150_000
+    assert all(v == sorted(v) for v in held.values())
+    assert dataset.length_buckets(rows.where("false"), "t", 2).count() == 0
