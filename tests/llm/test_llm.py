@@ -456,6 +456,35 @@ def test_mixer_against_plain_python(name):
     assert lm_scoring.mix([(name, doc, pos, value, tuple(contexts))], table, start, 4) == pytest.approx(want, rel=1e-4)
 
 
+def test_streams_look_two_tokens_back_and_at_the_last_byte():
+    """Of two documents, class streams tell the class two tokens before; byte streams see the last byte alone too."""
+    n = np.array([3, 3])
+    flags = np.zeros(6, bool)
+    run = lambda cls: {s[0]: s[4] for s in lm_scoring._streams(np.array(cls, np.uint8), np.zeros(6, np.uint8), ~flags, flags, np.zeros(6, np.uint8), np.zeros(6, np.uint8), np.concatenate([[0], np.cumsum(n)]), [b"", b""])}
+    for name in ("known", "class"):
+        one, other = run([7, 8, 9, 1, 8, 9])[name], run([7, 8, 9, 7, 8, 9])[name]
+        assert any(c[2] != c[5] for c in one) and all(c[2] == c[5] for c in other)
+    new = np.array([True, False])
+    mark = np.array([5, 0], np.uint8)  # the second token stands behind a marked one
+    streams = {s[0]: s for s in lm_scoring._streams(np.zeros(2, np.uint8), np.zeros(1, np.uint8), new, ~new & False, np.zeros(2, np.uint8), mark, np.array([0, 2]), [b"aba "])}
+    assert any(c.tolist() == [32, 97, 98, 97] for c in streams["byte"][4]) and len(streams["byte"][4]) == len(lm_scoring.STREAMS["byte"][1]) == 5
+
+
+def test_lm_tokens_against_plain_python():
+    """Places, hashes, classes and groups of the tokens of odd texts are those of their words."""
+    texts = ["", "A b\tB  a", "x" * 600_000 + " y", " \x85é\u3000É \ud800 ", "one\x0btwo\x0c\r\nOne", "", "z" * 3]
+    raw, first, stop, h, counts, sizes = lm_scoring._tokens(texts)
+    words = [w for t in texts for w in [*t.encode("utf-8", "surrogatepass").lower().split(), b""]]
+    assert [raw[a:b].tobytes() for a, b in zip(first, stop)] == words and counts.tolist() == [len(t.encode("utf-8", "surrogatepass").split()) + 1 for t in texts]
+    assert sizes.tolist() == [len(t.encode("utf-8", "surrogatepass")) for t in texts]
+    cls = lm_scoring._classes(raw, first, stop)
+    assert len(set(zip(words, h.tolist(), cls.tolist()))) == len(set(words)) == len(set(h.tolist()))
+    close = np.array([1 << 40, (1 << 40) + 1, 1 << 40, 5, (1 << 40) + 1], np.uint64)  # alike in their first bits
+    for keys in (h, close, np.zeros(0, np.uint64)):
+        order, heads = lm_scoring._grouped(keys)
+        assert keys[order].tolist() == sorted(keys.tolist()) and keys[order][heads].tolist() == sorted(set(keys.tolist()))
+
+
 def test_choices_against_plain_python():
     """The last choice of each token, one token after another."""
     rng = np.random.RandomState(6)
