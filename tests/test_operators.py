@@ -132,3 +132,12 @@ def test_length_buckets_are_bounded_in_bytes(spark, monkeypatch):
     assert sorted(r["i"] for r in found) == list(range(1000)) and max(map(sum, held.values())) < 150_000
     assert all(v == sorted(v) for v in held.values())
     assert dataset.length_buckets(rows.where("false"), "t", 2).count() == 0
+
+
+def test_style_features_sort_without_an_interpreted_comparison(spark):
+    from lettermill.operators import stylometry
+
+    out = stylometry.all_features(spark.createDataFrame([("b a b, a c. abab",)], "text string"))
+    assert "array_sort(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    (r,) = out.collect()
+    assert (r["type_token_ratio"], round(r["char_3gram_avg_freq"], 9)) == (0.75, round(14 / 13, 9))
